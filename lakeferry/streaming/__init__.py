@@ -1,0 +1,5 @@
+"""All jobs of this package are batch jobs.
+
+Late updates arrive again with a newer version timestamp and are settled by
+``operators.latest``, so there is no watermark, window or state to keep.
+"""
