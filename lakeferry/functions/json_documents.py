@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,26 +27,34 @@ class JsonField:
 
 # Spark types of the cast kinds.
 _CASTS = {"numeric": "decimal(38,9)", "integer": "bigint"}
+_NUMBERS = {"numeric": r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$", "integer": r"^\s*[+-]?\d+\s*$"}
 _CHECKED = ("numeric", "integer", "boolean", "timestamp")
 
 
 def document_at(document: Column, path: str) -> Column:
-    """JSON text at a path of a parsed document; a JSON null counts as missing."""
+    """JSON text at a path of a parsed document; a JSON null counts as missing.
+
+    Keys are in alphabetical order and numbers in their shortest form.
+    """
     text = F.to_json(F.try_variant_get(document, path, "variant"))
-    return F.nullif(text, F.lit("null"))
+    return F.when(text != "null", text)
+
+
+def is_nested(document: Column) -> Column:
+    """Is a parsed value an object or an array?"""
+    return F.schema_of_variant(document).rlike("^(OBJECT|ARRAY)")
 
 
 def text_at(document: Column, path: str) -> Column:
     """Plain text of a scalar at a path; null for objects and arrays."""
-    whole = document_at(document, path)
-    return F.when(~whole.rlike(r"^[{\[]"), F.try_variant_get(document, path, "string"))
+    value = document if path == "$" else F.try_variant_get(document, path, "variant")
+    return F.when(~is_nested(value), F.try_variant_get(value, "$", "string"))
 
 
 def texts_at(document: Column, path: str) -> Column:
     """Array of the scalars at a path; null when the value is not an array of scalars."""
     items = F.try_variant_get(document, path, "array<variant>")
-    nested = F.exists(items, lambda x: F.coalesce(F.to_json(x).rlike(r"^[{\[]"), F.lit(False)))
-    return F.when(~nested, F.transform(items, lambda x: F.try_variant_get(x, "$", "string")))
+    return F.when(~F.exists(items, is_nested), F.transform(items, lambda x: F.try_variant_get(x, "$", "string")))
 
 
 def lenient_timestamp(text: Column) -> Column:
@@ -65,25 +74,85 @@ def lenient_timestamp(text: Column) -> Column:
     )
 
 
-def _source_text(document: Column, field: JsonField) -> Column:
-    return F.coalesce(*[text_at(document, p) for p in field.paths])
+def typed(value: Column, kind: str) -> Column:
+    """Value of a field kind from its text; null when the text does not fit.
 
-
-def field_column(document: Column, field: JsonField) -> Column:
-    """Typed expression of one field over a parsed document."""
-    if field.kind == "document":
-        return F.coalesce(*[document_at(document, p) for p in field.paths])
-    if field.kind == "texts":
-        return F.coalesce(*[texts_at(document, p) for p in field.paths])
-    text = _source_text(document, field)
-    if field.kind == "text":
-        return text
-    if field.kind == "timestamp":
-        return lenient_timestamp(text)
-    if field.kind == "boolean":
-        flag = F.lower(text)
+    Text that is no number is sorted out before the cast, because a failing cast is slow.
+    """
+    if kind == "timestamp":
+        return lenient_timestamp(value)
+    if kind == "boolean":
+        flag = F.lower(value)
         return F.when(flag.isin("true", "false"), flag == "true")
-    return text.try_cast(_CASTS[field.kind])
+    if kind in _CASTS:
+        return F.when(value.rlike(_NUMBERS[kind]), value.try_cast(_CASTS[kind]))
+    return value
+
+
+class _Leaves:
+    """Struct types that fetch many paths of a parsed document in one lookup each.
+
+    Paths that cannot share a struct (one leads through the other, or their keys
+    differ in case only) go to different structs.
+    """
+
+    def __init__(self, prefix: str):
+        self.prefix = prefix
+        self.trees: list[dict] = []
+        self.places: dict[str, int] = {}
+
+    def add(self, path: str) -> None:
+        if path in self.places:
+            return
+        steps = _steps(path)
+        for number, tree in enumerate(self.trees):
+            if _grafted(tree, steps):
+                self.places[path] = number
+                return
+        self.trees.append({})
+        _grafted(self.trees[-1], steps)
+        self.places[path] = len(self.trees) - 1
+
+    def structs(self, document: Column) -> list[Column]:
+        return [
+            F.try_variant_get(document, "$", self._type(tree)).alias(f"{self.prefix}{i}")
+            for i, tree in enumerate(self.trees)
+        ]
+
+    def value(self, path: str) -> Column:
+        column = F.col(f"{self.prefix}{self.places[path]}")
+        for step in _steps(path):
+            column = F.get(column, F.lit(step)) if isinstance(step, int) else column.getField(step)
+        return column
+
+    def _type(self, node: dict) -> str:
+        if not node:
+            return "variant"
+        if any(isinstance(k, int) for k in node):
+            items = [self._type(child) for child in node.values()]
+            return f"array<{items[0]}>"
+        return "struct<" + ", ".join(f"`{k}`: {self._type(child)}" for k, child in node.items()) + ">"
+
+
+def _steps(path: str) -> list[str | int]:
+    """Keys and list positions of a path such as ``$.a.b[0]``."""
+    return [int(index) if index else key for key, index in re.findall(r"\.(\w+)|\[(\d+)\]", path)]
+
+
+def _grafted(tree: dict, steps: list[str | int]) -> bool:
+    """Add a path to a tree, unless it cannot share the tree's struct type."""
+    node = tree
+    for i, step in enumerate(steps):
+        if step not in node:
+            fresh = i == 0 or bool(node)
+            taken = any(isinstance(k, int) or isinstance(step, int) or k.lower() == step.lower() for k in node)
+            if not fresh or taken:
+                return False
+            for rest in steps[i:]:
+                node = node.setdefault(rest, {})
+            return True
+        node = node[step]
+    return False
 
 
 def project_json(
@@ -91,21 +160,38 @@ def project_json(
 ) -> DataFrame:
     """Add one column per field from the JSON text in ``column``.
 
-    The text is parsed once. A value that does not fit its type becomes null; with
-    ``rejects`` the names of such fields are listed in an extra array column.
+    The text is parsed once, all paths are fetched together, and the casts come after
+    that. A value that does not fit its type becomes null; with ``rejects`` the names
+    of such fields are listed in an extra array column.
     """
-    parsed = df.withColumn(_PARSED, F.try_parse_json(F.col(column)))
-    document = F.col(_PARSED)
-    added = [field_column(document, f).alias(f.name) for f in fields]
-    if rejects is not None:
-        bad = [
-            F.when(_source_text(document, f).isNotNull() & field_column(document, f).isNull(), F.lit(f.name))
-            for f in fields
-            if f.kind in _CHECKED
-        ]
-        added.append(F.array_compact(F.array(*bad)).alias(rejects))
     kept = [F.col(f"`{c}`") for c in df.columns]
-    return parsed.select(*kept, *added)
+    document = F.col(_PARSED)
+    leaves = _Leaves(f"{_PARSED}_part")
+    for f in fields:
+        for path in f.paths:
+            if path != "$":
+                leaves.add(path)
+    readers = {"document": document_at, "texts": texts_at}
+
+    def value(kind: str, path: str) -> Column:
+        return readers.get(kind, text_at)(document if path == "$" else leaves.value(path), "$")
+
+    found = [
+        F.coalesce(*[value(f.kind, p) for p in f.paths]).alias(f"{_PARSED}_{f.name}") for f in fields
+    ]
+    values = {f.name: F.col(f"{_PARSED}_{f.name}") for f in fields}
+    added = [typed(values[f.name], f.kind).alias(f.name) for f in fields]
+    parsed = df.withColumn(_PARSED, F.try_parse_json(F.col(column)))
+    fetched = parsed.select(*kept, document, *leaves.structs(document))
+    rows = fetched.select(*kept, *found)
+    if rejects is None:
+        return rows.select(*kept, *added)
+    checked = [f for f in fields if f.kind in _CHECKED]
+    bad = [
+        F.when(values[f.name].isNotNull() & typed(values[f.name], f.kind).isNull(), F.lit(f.name)) for f in checked
+    ]
+    none = F.array(F.lit(None).cast("string"))
+    return rows.select(*kept, *added, F.array_except(F.array(*bad), none).alias(rejects))
 
 
 # Documents under $.data of a credit policy document (output column: key).

@@ -30,4 +30,6 @@ def signed_text(signature: Column, path: str = SIGNED_TEXT_PATH) -> Column:
 def fault_text(body: Column) -> Column:
     """Reason of a fault response; null for a normal response."""
     text = first_node_text(body, "//*[local-name()='Fault']//*[local-name()='Text']/text()")
-    return F.when(F.xpath_boolean(body, F.lit("//*[local-name()='Fault']")), F.coalesce(text, F.lit("unknown fault")))
+    # only a body that has the word at all is parsed
+    fault = body.contains("Fault") & F.xpath_boolean(body, F.lit("//*[local-name()='Fault']"))
+    return F.when(fault, F.coalesce(text, F.lit("unknown fault")))

@@ -31,6 +31,7 @@ from lakeferry.operators.rates import (
 )
 from lakeferry.sinks.messages import messages, write_messages
 from lakeferry.sinks.storage import shared_path
+from lakeferry.sources.files import read_ndjson
 from workload.common import TEXT_TIME, cents, plain_times, registry, table
 
 QUERIES, ORACLES, register = registry()
@@ -354,6 +355,13 @@ def signature_decode(spark, sf_dir):
     return signed.select("doc_id", signed_text(F.col("signature")).alias("signed_text"))
 
 
+def _landed(spark, reports, name, schema):
+    """Report texts written as landed files and read in the layout of the report."""
+    path = shared_path(spark, name)
+    write_messages(reports, path)
+    return read_ndjson(spark, path, schema)
+
+
 @register(
     """
     SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, l_orderkey AS campaign_id, 'SEARCH' AS ad_channel_type,
@@ -392,8 +400,8 @@ def apple_ads(spark, sf_dir):
             ).alias("granularity"),
         )
     )
-    landed = table(spark, sf_dir, "lineitem").select(F.from_json(report, APPLE_SCHEMA).alias("r")).select("r.*")
-    return apple_rows(landed)
+    reports = table(spark, sf_dir, "lineitem").select(report.alias("value"))
+    return apple_rows(_landed(spark, reports, "apple_ads", APPLE_SCHEMA))
 
 
 @register(
@@ -437,13 +445,10 @@ def snapchat_ads(spark, sf_dir):
             )
         ).alias("ads"),
     )
-    report = F.to_json(F.struct(F.array(campaign).alias("campaigns")))
-    landed = (
-        table(spark, sf_dir, "events")
-        .select("ts", F.from_json(report, SNAPCHAT_SCHEMA).alias("r"))
-        .select(F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()).alias("execution_ts"), "r.campaigns")
-    )
-    return snapchat_rows(landed)
+    at = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    report = F.to_json(F.struct(at.alias("execution_ts"), F.array(campaign).alias("campaigns")))
+    reports = table(spark, sf_dir, "events").select(report.alias("value"))
+    return snapchat_rows(_landed(spark, reports, "snapchat_ads", SNAPCHAT_SCHEMA))
 
 
 @register(
@@ -483,7 +488,8 @@ def tiktok_ads(spark, sf_dir):
             ).alias("list"),
         )
     )
-    landed = table(spark, sf_dir, "events").select(F.from_json(report, TIKTOK_SCHEMA).alias("r")).select("r.*")
+    reports = table(spark, sf_dir, "events").select(report.alias("value"))
+    landed = _landed(spark, reports, "tiktok_ads", TIKTOK_SCHEMA)
     return plain_times(tiktok_rows(landed)).select(
         "date", "ad_id", "country_code", "currency_code", "ad_name", "campaign_id", "campaign_name", "spend", "clicks",
         "follows", "account_country",
