@@ -27,9 +27,11 @@ def inner_parts(html: Column, tag: str) -> Column:
 
 def plain_text(html: Column) -> Column:
     """Text of a fragment: tags removed, character references resolved, ends stripped."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    bare = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    resolved = bare
     for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
+        resolved = F.replace(resolved, F.lit(name), F.lit(char))
+    text = F.when(bare.contains("&"), resolved).otherwise(bare)
     return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 

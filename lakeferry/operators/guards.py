@@ -73,7 +73,9 @@ def document_columns(df: DataFrame, table_name: str, column: str) -> DataFrame:
         df.select(F.json_object_keys(column).alias("keys"))
         .groupBy("keys")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.explode("keys").alias("column_name"), "n")
+        # the outer form keeps Spark from testing the lists once more in front of the grouping
+        .select(F.explode_outer("keys").alias("column_name"), "n")
+        .filter("column_name is not null")
         .groupBy("column_name")
         .agg(F.sum("n").alias("num_rows"))
         .select(F.lit(table_name).alias("table_name"), "column_name", "num_rows")

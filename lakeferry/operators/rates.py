@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeferry.functions.html import first_table, table_cells
+from lakeferry.functions.html import first_table, inner_parts, row_cells
 from lakeferry.functions.xml import fault_text
 
 # Currencies that are kept, and the published index.
@@ -73,18 +73,24 @@ def index_values(
     weekend day gives no row.
     """
     others = [c for c in pages.columns if c != html]
-    rows = F.col("__rows")
-
-    def cell(row: int, column: int) -> Column:
-        return F.get(F.get(rows, F.lit(row)), F.lit(column))
-
+    head, rate = F.col("__cells.head"), F.col("__cells.rate")
+    # only the two rows that matter are taken apart, step by step, so that no step is repeated
     found = (
-        pages.select(*others, table_cells(first_table(F.col(html), table_class)).alias("__rows"))
+        pages.select(*others, first_table(F.col(html), table_class).alias("__table"))
+        .select(*others, inner_parts(F.col("__table"), "tr").alias("__rows"))
+        .select(*others, F.get("__rows", F.lit(0)).alias("__head"), F.get("__rows", F.lit(3)).alias("__rate"))
+        # exploding an array of one item keeps the filter below from moving in front of this
+        .select(
+            *others,
+            F.explode_outer(
+                F.array(F.struct(row_cells(F.col("__head")).alias("head"), row_cells(F.col("__rate")).alias("rate")))
+            ).alias("__cells"),
+        )
         .select(
             *others,
-            F.try_to_timestamp(cell(0, 0), F.lit("M/d/yyyy")).cast("date").alias("day"),
-            cell(3, 0).alias("__title"),
-            F.substring_index(cell(3, 1), " ", 1).try_cast("decimal(18,6)").alias("value"),
+            F.try_to_timestamp(F.get(head, F.lit(0)), F.lit("M/d/yyyy")).cast("date").alias("day"),
+            F.get(rate, F.lit(0)).alias("__title"),
+            F.substring_index(F.get(rate, F.lit(1)), " ", 1).try_cast("decimal(18,6)").alias("value"),
         )
         .filter((F.col("__title") == title) & F.col("day").isNotNull() & is_weekday(F.col("day")))
         .drop("__title")
