@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeferry.functions.json_documents import POLICY_FIELDS, JsonField, project_json
 from lakeferry.functions.normalize import normalize_rows, with_ingested_ts
 from lakeferry.operators.latest import latest_per_key
-from lakeferry.sinks.tables import DAY, append_raw, publish, reload_day, with_day
+from lakeferry.sinks.tables import DAY, append_raw, current_path, publish, reload_day, with_day
 from lakeferry.spec import INGESTED_TS, TableSpec
 
 
@@ -25,8 +25,8 @@ def load_raw(
     source: DataFrame,
     spec: TableSpec,
     run_ts: datetime | str,
-    raw_path: str,
-    raw_view: str,
+    root: str,
+    view: str,
     backfill: bool = False,
 ) -> None:
     """Append the run's rows, or replace the raw table (full reload or backfill).
@@ -35,18 +35,22 @@ def load_raw(
     """
     rows = landed(source, spec, run_ts)
     day_column = spec.partition_column if spec.ts_column else None
-    if spec.ts_column and not backfill:
-        append_raw(rows, raw_path, day_column)
-        return
-    if day_column is not None:
-        rows = with_day(rows, day_column)
-    publish(spark, rows, raw_view, raw_path, [DAY] if day_column is not None else [])
+    path = current_path(spark, view)
+    if spec.ts_column and not backfill and path is not None:
+        append_raw(rows, path, day_column)
+    elif day_column is not None:
+        publish(spark, with_day(rows, day_column), view, root, [DAY])
+    else:
+        publish(spark, rows, view, root)
 
 
 def load_raw_day(
-    spark: SparkSession, source: DataFrame, spec: TableSpec, run_ts: datetime | str, path: str, day_column: str, day: date
+    spark: SparkSession, source: DataFrame, spec: TableSpec, run_ts: datetime | str, view: str, day_column: str, day: date
 ) -> None:
     """Reload one day of a raw table; running it again gives the same table."""
+    path = current_path(spark, view)
+    if path is None:
+        raise ValueError(f"there is no table {view}")
     reload_day(spark, landed(source, spec, run_ts), path, day_column, day)
 
 
@@ -64,8 +68,8 @@ def build_clean(
     spark: SparkSession,
     raw: DataFrame,
     spec: TableSpec,
-    clean_path: str,
-    clean_view: str,
+    root: str,
+    view: str,
     documents: dict[str, Sequence[JsonField]] | None = None,
 ) -> None:
     """Rebuild the clean table, partitioned by creation day and clustered by key.
@@ -76,9 +80,9 @@ def build_clean(
         raise ValueError(f"{spec.name} is sensitive and has no clean layer")
     rows = refined(raw.drop(DAY), spec, documents)
     if "created_at" in rows.columns:
-        publish(spark, with_day(rows, "created_at"), clean_view, clean_path, [DAY], [spec.key])
+        publish(spark, with_day(rows, "created_at"), view, root, [DAY], [spec.key])
     else:
-        publish(spark, rows, clean_view, clean_path, [], [spec.key])
+        publish(spark, rows, view, root, [], [spec.key])
 
 
 POLICY_DOCUMENT = {"main_policy": POLICY_FIELDS}

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from lakeferry.operators.guards import CheckFailed
 from lakeferry.sources.files import BAD_ROW
 
 DAY = "_day"
+PATH_PROPERTY = "current_path"
 # Layout of written CSV: header, quotes doubled inside quotes, texts not trimmed.
 CSV_LAYOUT = {
     "header": "true",
@@ -37,13 +39,13 @@ def append_raw(df: DataFrame, path: str, day_column: str | None) -> None:
     if day_column is None:
         df.write.mode("append").parquet(path)
     else:
-        with_day(df, day_column).hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+        balanced(with_day(df, day_column), [DAY]).write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``; no rows, no change."""
     (
-        df.hint("rebalance", *partition_by)
+        balanced(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -79,8 +81,6 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     keys, so file statistics let readers skip by key.
     """
     order = [*partition_by, *cluster_by]
-    if not order:
-        return df
     names = [F.col(quoted(c)) for c in order]
     return df.repartitionByRange(*names).sortWithinPartitions(*names)
 
@@ -90,17 +90,38 @@ def write_snapshot(
 ) -> str:
     """Write a new version of a table beside the older ones and return its path."""
     path = f"{root.rstrip('/')}/version={uuid.uuid4().hex}"
-    clustered(df, partition_by, cluster_by).write.partitionBy(*partition_by).parquet(path)
+    rows = clustered(df, partition_by, cluster_by) if cluster_by else balanced(df, partition_by)
+    rows.write.partitionBy(*partition_by).parquet(path)
+    try:
+        df.sparkSession.read.parquet(path)
+    except AnalysisException:
+        # a partitioned write without rows leaves no file that holds the schema
+        df.limit(0).write.mode("append").parquet(path)
     return path
 
 
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Let Spark even out the files of a partitioned write: large partitions are split, small ones joined."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def switch(spark: SparkSession, name: str, path: str) -> None:
     """Let readers of ``name`` see the version at ``path`` from now on.
 
     The view is replaced in one catalog step, so readers see the old or the new
     version, and a failed write changes nothing.
     """
-    spark.sql(f"create or replace view {name} as select * from parquet.`{path}`")
+    spark.sql(
+        f"create or replace view {name} tblproperties ('{PATH_PROPERTY}' = '{path}') as select * from parquet.`{path}`"
+    )
+
+
+def current_path(spark: SparkSession, name: str) -> str | None:
+    """Path of the version that readers of ``name`` see; None when there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"show tblproperties {name} ('{PATH_PROPERTY}')").collect()
+    return rows[0]["value"]
 
 
 def publish(

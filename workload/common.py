@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def new_view(name: str) -> str:
+    """Name that no other run of the query uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def plain_times(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the given tables have them."""
     times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]

@@ -28,7 +28,7 @@ from lakeferry.sinks.storage import shared_path
 from lakeferry.sinks.tables import write_report_csv
 from lakeferry.sources.files import COVERAGE_ARTIFACT, FRESHNESS_ARTIFACT
 from lakeferry.spec import parse_specs
-from workload.common import registry, table
+from workload.common import new_view, registry, table
 from workload.replication import CUSTOMERS, _tasks
 
 QUERIES, ORACLES, register = registry()
@@ -67,8 +67,9 @@ def promote_backfill(spark, sf_dir):
     """Backfill written beside the table, counted against the source and then shown to readers."""
     customer = table(spark, sf_dir, "customer")
     path = shared_path(spark, "promote_backfill")
-    promote(spark, customer, CUSTOMERS, table_counts({"customer": customer}), path, "customer_final")
-    return spark.table("customer_final")
+    view = new_view("promote_backfill")
+    promote(spark, customer, CUSTOMERS, table_counts({"customer": customer}), path, view)
+    return spark.table(view)
 
 
 def _landed_documents(lineitem):

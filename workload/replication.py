@@ -14,7 +14,7 @@ from lakeferry.plans.replicate import build_clean, landed, load_raw, load_raw_da
 from lakeferry.sinks.storage import shared_path
 from lakeferry.sinks.tables import DAY
 from lakeferry.spec import TableSpec
-from workload.common import plain_times, registry, table
+from workload.common import new_view, plain_times, registry, table
 
 QUERIES, ORACLES, register = registry()
 
@@ -68,9 +68,10 @@ def full_reload(spark, sf_dir):
     """A table without a timestamp column is read in full and replaces its raw table."""
     path = shared_path(spark, "full_reload")
     source = table(spark, sf_dir, "customer")
-    load_raw(spark, source, CUSTOMERS, RUN_1, path, "customer_raw")
-    load_raw(spark, source, CUSTOMERS, RUN_1, path, "customer_raw")
-    return plain_times(spark.table("customer_raw")).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+    view = new_view("customer_raw")
+    load_raw(spark, source, CUSTOMERS, RUN_1, path, view)
+    load_raw(spark, source, CUSTOMERS, RUN_1, path, view)
+    return plain_times(spark.table(view)).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
 
 
 @register(
@@ -86,12 +87,13 @@ def day_reload(spark, sf_dir):
     """One day of a raw table is read again (half-open day range) and replaced, twice."""
     path = shared_path(spark, "day_reload")
     events = table(spark, sf_dir, "events")
-    load_raw(spark, events, EVENTS, RUN_1, path, "events_raw")
+    view = new_view("events_raw")
+    load_raw(spark, events, EVENTS, RUN_1, path, view)
     day = events.filter("ts >= timestamp_ntz'2024-01-10' and ts < timestamp_ntz'2024-01-11'")
     for _ in range(2):
         again = day.withColumn("value", F.col("value") * 2)
-        load_raw_day(spark, again, EVENTS, RUN_2, path, "ts", date(2024, 1, 10))
-    return plain_times(spark.read.parquet(path).drop(DAY))
+        load_raw_day(spark, again, EVENTS, RUN_2, view, "ts", date(2024, 1, 10))
+    return plain_times(spark.table(view).drop(DAY))
 
 
 @register(
@@ -175,10 +177,11 @@ def replicate_events(spark, sf_dir):
     path = shared_path(spark, "replicate_events")
     events = table(spark, sf_dir, "events")
     spec = TableSpec(**{**EVENTS.__dict__, "key": "event_id"})
-    load_raw(spark, events.filter("ts < timestamp_ntz'2024-01-20'"), spec, RUN_1, path, "events_raw")
+    view = new_view("events_raw")
+    load_raw(spark, events.filter("ts < timestamp_ntz'2024-01-20'"), spec, RUN_1, path, view)
     late = events.filter("ts >= timestamp_ntz'2024-01-15'").withColumn("value", F.col("value") + 1)
-    load_raw(spark, late, spec, RUN_2, path, "events_raw")
-    return plain_times(refined(spark.read.parquet(path).drop(DAY), spec))
+    load_raw(spark, late, spec, RUN_2, path, view)
+    return plain_times(refined(spark.table(view).drop(DAY), spec))
 
 
 CLEAN = TableSpec.from_contract(
@@ -214,9 +217,10 @@ def clean_table(spark, sf_dir):
         F.col("event_type").alias("order"),
         F.col("value").cast("decimal(18,2)").alias("value"),
     )
-    load_raw(spark, source, CLEAN, RUN_1, f"{path}/raw", "tracked_raw")
-    build_clean(spark, spark.read.parquet(f"{path}/raw"), CLEAN, f"{path}/clean", "tracked")
-    return plain_times(spark.table("tracked").drop(DAY)).withColumn("value", F.col("value").cast("double"))
+    raw, clean = new_view("tracked_raw"), new_view("tracked")
+    load_raw(spark, source, CLEAN, RUN_1, f"{path}/raw", raw)
+    build_clean(spark, spark.table(raw), CLEAN, f"{path}/clean", clean)
+    return plain_times(spark.table(clean).drop(DAY)).withColumn("value", F.col("value").cast("double"))
 
 
 NORMALIZED = TableSpec.from_contract(

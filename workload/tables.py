@@ -15,7 +15,7 @@ from lakeferry.sinks.storage import shared_path
 from lakeferry.sinks.tables import publish_checked, replace_partitions, write_ndjson, write_report_csv
 from lakeferry.sources.files import csv_to_ndjson, read_csv, read_ndjson
 from lakeferry.spec import TableSpec
-from workload.common import cents, money_sum, registry, table
+from workload.common import cents, money_sum, new_view, registry, table
 
 QUERIES, ORACLES, register = registry()
 
@@ -26,11 +26,12 @@ ALL_CUSTOMERS = "SELECT * FROM customer"
 def csv_roundtrip(spark, sf_dir):
     """CSV with a header written and loaded back in its schema."""
     path = shared_path(spark, "csv_roundtrip")
+    view = new_view("csv_roundtrip")
     customer = table(spark, sf_dir, "customer")
     write_report_csv(customer, f"{path}/csv")
     rows = read_csv(spark, f"{path}/csv", customer.schema, header_rows=1, quoted_newlines=False)
-    publish_checked(spark, rows, "customer_csv", f"{path}/table", max_bad_rows=0)
-    return spark.table("customer_csv")
+    publish_checked(spark, rows, view, f"{path}/table", max_bad_rows=0)
+    return spark.table(view)
 
 
 @register(
@@ -43,6 +44,7 @@ def csv_roundtrip(spark, sf_dir):
 def csv_dirty_load(spark, sf_dir):
     """CSV with short rows, surplus fields, quoted newlines and bad numbers; bad rows are counted and left out."""
     path = shared_path(spark, "csv_dirty_load")
+    view = new_view("csv_dirty_load")
     customer = table(spark, sf_dir, "customer")
     bad = "c_acctbal >= 0 and c_mktsegment = 'MACHINERY' and c_nationkey = 1"
     name = F.concat(F.lit('"'), "c_name", F.lit("\n"), "c_mktsegment", F.lit('"'))
@@ -65,8 +67,8 @@ def csv_dirty_load(spark, sf_dir):
         ]
     )
     allowed = customer.filter(bad).count()
-    publish_checked(spark, read_csv(spark, f"{path}/csv", schema), "customer_dirty", f"{path}/table", allowed)
-    return spark.table("customer_dirty")
+    publish_checked(spark, read_csv(spark, f"{path}/csv", schema), view, f"{path}/table", allowed)
+    return spark.table(view)
 
 
 NESTED = TableSpec.from_contract(
@@ -111,10 +113,11 @@ def ndjson_roundtrip(spark, sf_dir):
 def snapshot_copy(spark, sf_dir):
     """Table copied twice; readers see the newer copy."""
     path = shared_path(spark, "snapshot_copy")
+    view = new_view("snapshot_copy")
     customer = table(spark, sf_dir, "customer")
-    copy_table(spark, customer.filter("c_acctbal > 0"), path, "customer_previous")
-    copy_table(spark, customer, path, "customer_previous")
-    return spark.table("customer_previous")
+    copy_table(spark, customer.filter("c_acctbal > 0"), path, view)
+    copy_table(spark, customer, path, view)
+    return spark.table(view)
 
 
 @register(
