@@ -69,8 +69,8 @@ def index_values(
 ) -> DataFrame:
     """Index value per landed page: date in the first cell, value in the fourth row.
 
-    A page without the expected title, of another day than ``fetch_day`` or of a
-    weekend day gives no row.
+    A page without the expected title or without a number, of another day than
+    ``fetch_day`` or of a weekend day gives no row.
     """
     others = [c for c in pages.columns if c != html]
     head, rate = F.col("__cells.head"), F.col("__cells.rate")
@@ -92,7 +92,7 @@ def index_values(
             F.get(rate, F.lit(0)).alias("__title"),
             F.substring_index(F.get(rate, F.lit(1)), " ", 1).try_cast("decimal(18,6)").alias("value"),
         )
-        .filter((F.col("__title") == title) & F.col("day").isNotNull() & is_weekday(F.col("day")))
+        .filter((F.col("__title") == title) & is_weekday(F.col("day")) & F.col("value").isNotNull())
         .drop("__title")
     )
     if fetch_day is not None:

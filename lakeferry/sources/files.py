@@ -13,6 +13,10 @@ from lakeferry.functions.types import spark_type
 from lakeferry.spec import INGESTED_TS, TableSpec
 
 BAD_ROW = "_bad_row"
+# Largest file that is read by a single task.
+MAX_UNSPLIT_BYTES = 4 * 2**30
+# what a quoted empty text is read as, to tell it from a missing value
+_EMPTY = "\u0000"
 
 
 def read_csv(
@@ -21,6 +25,7 @@ def read_csv(
     schema: T.StructType,
     header_rows: int = 0,
     quoted_newlines: bool = True,
+    max_file_bytes: int = MAX_UNSPLIT_BYTES,
 ) -> DataFrame:
     """Rows of a CSV export in the given schema, plus ``_bad_row``.
 
@@ -28,11 +33,14 @@ def read_csv(
     one of its values does not fit its column. Columns are read as text and cast by
     the plan, so the width of a row never counts as a fault.
 
-    With quoted newlines a file cannot be split and is one task: export many files.
-    Without them large files are split.
+    With quoted newlines a file cannot be split and is one task, so a table must be
+    exported as many files: a file over ``max_file_bytes`` is refused. Without quoted
+    newlines large files are split.
     """
     if header_rows not in (0, 1):
         raise ValueError("a CSV export has no or one header row")
+    if quoted_newlines:
+        _require_small_files(spark, path, max_file_bytes)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = (
         spark.read.schema(text)
@@ -41,21 +49,30 @@ def read_csv(
         .option("mode", "PERMISSIVE")
         .option("multiLine", quoted_newlines)
         .option("escape", '"')
+        .option("emptyValue", _EMPTY)
         .csv(path)
     )
     values = {f.name: _value(F.col(quoted(f.name)), f.dataType) for f in schema.fields}
     faults = [
-        F.col(quoted(f.name)).isNotNull() & values[f.name].isNull()
+        (F.col(quoted(f.name)) != _EMPTY) & values[f.name].isNull()
         for f in schema.fields
         if not isinstance(f.dataType, T.StringType)
     ]
-    bad = reduce(lambda a, b: a | b, faults, F.lit(False))
+    bad = F.coalesce(reduce(lambda a, b: a | b, faults, F.lit(False)), F.lit(False))
     return raw.select(*[v.alias(n) for n, v in values.items()], bad.alias(BAD_ROW))
 
 
+def _require_small_files(spark: SparkSession, path: str, max_bytes: int) -> None:
+    # only the file listing is read, not the content
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    if largest is not None and largest > max_bytes:
+        raise ValueError(f"a file of {largest} bytes cannot be split, at most {max_bytes} are allowed: export more files")
+
+
 def _value(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
-        return column
+        return F.when(column == _EMPTY, "").otherwise(column)
+    column = F.nullif(column, F.lit(_EMPTY))
     if isinstance(dtype, T.ArrayType):
         return array_from_text(column)
     return F.trim(column).try_cast(dtype)
