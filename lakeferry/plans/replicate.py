@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeferry.functions.json_documents import POLICY_FIELDS, JsonField, project_json
 from lakeferry.functions.normalize import normalize_rows, with_ingested_ts
 from lakeferry.operators.latest import latest_per_key
-from lakeferry.sinks.tables import DAY, append_raw, current_path, publish, reload_day, with_day
+from lakeferry.sinks.tables import DAY, append_raw, clustered, current_path, publish, reload_day, with_day
 from lakeferry.spec import INGESTED_TS, TableSpec
 
 
@@ -58,7 +58,15 @@ def refined(
     raw: DataFrame, spec: TableSpec, documents: dict[str, Sequence[JsonField]] | None = None, ties: str = "all"
 ) -> DataFrame:
     """Current version per key, with JSON documents projected to columns."""
-    rows = latest_per_key(raw, [spec.key], INGESTED_TS, ties, [] if ties == "all" else [F.xxhash64("*")])
+    return with_documents(current_rows(raw, spec, ties), documents)
+
+
+def current_rows(raw: DataFrame, spec: TableSpec, ties: str = "all") -> DataFrame:
+    tie_break = [] if ties == "all" else [F.xxhash64("*")]
+    return latest_per_key(raw, [spec.key], INGESTED_TS, ties, tie_break)
+
+
+def with_documents(rows: DataFrame, documents: dict[str, Sequence[JsonField]] | None) -> DataFrame:
     for column, fields in (documents or {}).items():
         rows = project_json(rows, column, fields)
     return rows
@@ -74,15 +82,18 @@ def build_clean(
 ) -> None:
     """Rebuild the clean table, partitioned by creation day and clustered by key.
 
-    Sensitive tables have a raw layer only.
+    Documents are projected after the rows are laid out: the sampling of key ranges does
+    not parse them, and the shuffle does not carry the extra columns. Sensitive tables
+    have a raw layer only.
     """
     if spec.gdpr_sensitive:
         raise ValueError(f"{spec.name} is sensitive and has no clean layer")
-    rows = refined(raw.drop(DAY), spec, documents)
+    rows = current_rows(raw.drop(DAY), spec)
+    partition_by = []
     if "created_at" in rows.columns:
-        publish(spark, with_day(rows, "created_at"), view, root, [DAY], [spec.key])
-    else:
-        publish(spark, rows, view, root, [], [spec.key])
+        rows, partition_by = with_day(rows, "created_at"), [DAY]
+    rows = with_documents(clustered(rows, partition_by, [spec.key]), documents)
+    publish(spark, rows, view, root, partition_by, keep_layout=True)
 
 
 POLICY_DOCUMENT = {"main_policy": POLICY_FIELDS}

@@ -86,11 +86,21 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
 
 
 def write_snapshot(
-    df: DataFrame, root: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    keep_layout: bool = False,
 ) -> str:
-    """Write a new version of a table beside the older ones and return its path."""
+    """Write a new version of a table beside the older ones and return its path.
+
+    ``keep_layout`` is for rows that are laid out already.
+    """
     path = f"{root.rstrip('/')}/version={uuid.uuid4().hex}"
-    rows = clustered(df, partition_by, cluster_by) if cluster_by else balanced(df, partition_by)
+    if keep_layout:
+        rows = df
+    else:
+        rows = clustered(df, partition_by, cluster_by) if cluster_by else balanced(df, partition_by)
     rows.write.partitionBy(*partition_by).parquet(path)
     try:
         df.sparkSession.read.parquet(path)
@@ -131,9 +141,10 @@ def publish(
     root: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    keep_layout: bool = False,
 ) -> str:
     """Replace a table; ``df`` may read the version that is replaced."""
-    path = write_snapshot(df, root, partition_by, cluster_by)
+    path = write_snapshot(df, root, partition_by, cluster_by, keep_layout)
     switch(spark, name, path)
     return path
 

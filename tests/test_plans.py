@@ -5,11 +5,15 @@ from datetime import date, datetime
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakeferry.operators.derived import TASK_COLUMNS
+from lakeferry.operators.guards import CheckFailed
 from lakeferry.operators.marketing import APPLE_SCHEMA, SNAPCHAT_SCHEMA, apple_rows, snapchat_rows
 from lakeferry.operators.rates import index_message, index_values, response_faults
-from lakeferry.plans import marketing, rates, subject_report
+from lakeferry.plans import exports, marketing, metadata, rates, subject_report
 from lakeferry.sources.files import read_ndjson
+from lakeferry.spec import parse_specs
 
 
 def land(path, *documents):
@@ -184,3 +188,54 @@ def test_every_section_has_its_header(spark):
     for name, query in built.items():
         found = query(spark, "/root/testdata/sf0.001").columns
         assert set(subject_report.SECTIONS[name].header) | {"customer_id"} == set(found)
+
+
+def test_exported_changes(spark, tmp_path, view):
+    def export(n, data):
+        table = spark.createDataFrame(data, "id int, v string")
+        exports.export_changes(spark, table, ["id"], view, str(tmp_path / "t"), str(tmp_path / f"out{n}"))
+        return rows(spark.read.schema("change string, id int, v string").json(str(tmp_path / f"out{n}")))
+
+    assert export(1, [(1, "a"), (2, None)]) == [("insert", 1, "a"), ("insert", 2, None)]
+    assert export(2, [(1, "a"), (2, "b"), (3, "c")]) == [("insert", 3, "c"), ("update", 2, "b")]
+    assert export(3, [(2, "b"), (3, "c")]) == [("delete", 1, "a")]
+    assert rows(spark.table(view)) == [(2, "b"), (3, "c")]
+
+
+def test_metadata_jobs(spark, tmp_path, view):
+    specs = parse_specs({"t": {"schema": {"id": "integer", "gone": "text"}}}).values()
+    catalog = spark.createDataFrame([("t", "id", "integer")], "table_name string, column_name string, data_type string")
+    assert metadata.write_table_info(spark, specs, catalog, str(tmp_path / "info")).count() == 1
+    info = spark.read.json(str(tmp_path / "info")).first()
+    assert (info["table_name"], info["drifted_columns"], info["extract"]) == ("t", "gone", False)
+
+    (tmp_path / "tests.json").write_text('{"tables": [{"name": "core.a", "covered": 1, "total": 2}]}')
+    (tmp_path / "fresh.json").write_text(
+        '{"results": [{"unique_id": "s.p.d.m", "status": "pass", "max_loaded_at": "x", "max_loaded_at_time_ago_in_s": 1, "criteria": {"filter": null}}]}'
+    )
+    day = date(2024, 1, 2)
+    metadata.write_coverage(spark, str(tmp_path / "tests.json"), str(tmp_path / "tests.json"), day, str(tmp_path / "cov"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "cov")).count() == 2
+    metadata.write_freshness(spark, str(tmp_path / "fresh.json"), day, str(tmp_path / "fresh"))
+    schema = T.StructType([T.StructField(c, T.DateType() if c == "execution_date" else T.StringType()) for c in
+                           "execution_date dataset_name model_name status max_timestamp_in_table max_timestamp_time_ago_in_s filter_condition".split()])
+    table = str(tmp_path / "table")
+    spark.createDataFrame([], schema).withColumn("_day", F.col("execution_date")).write.parquet(table)
+    for _ in range(2):
+        metadata.load_report_day(spark, str(tmp_path / "fresh"), schema, table, "execution_date", day)
+    loaded = spark.read.schema(schema.add("_day", "date")).parquet(table)
+    assert [r["model_name"] for r in loaded.collect()] == ["m"]
+
+    log = spark.createDataFrame([("w", "CREATED", 1)], "w string, action string, at int")
+    metadata.rebuild_lifecycle(spark, log, ["w"], "action", "at", str(tmp_path / "life"), view)
+    assert rows(spark.table(view)) == [("w", 1, None)]
+
+    tasks = spark.createDataFrame(
+        [tuple({"task_id": "a", "dag_id": "d", "start_date": datetime(2024, 1, 2, 5), "duration": 99_999.0}.get(c) for c in TASK_COLUMNS)],
+        ", ".join(f"{c} {'timestamp' if c.endswith('_date') else 'double' if c == 'duration' else 'string'}" for c in TASK_COLUMNS),
+    )
+    metadata.load_task_metadata(spark, tasks, "watch", str(tmp_path / "runs"), view + "_runs")
+    assert spark.table(view + "_runs").first()["_day"] == day
+    metadata.check_long_tasks(tasks, date(2024, 1, 9), "watch")
+    with pytest.raises(CheckFailed):
+        metadata.check_long_tasks(tasks, day, "watch")
