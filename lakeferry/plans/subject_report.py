@@ -186,8 +186,8 @@ class Section:
 
 # Sections and their headers.
 SECTIONS = {
-    "main/contact_details": Section(contact_details, ("created_at", "type", "value", "is_active")),
-    "main/application_details": Section(
+    "contact_details": Section(contact_details, ("created_at", "type", "value", "is_active")),
+    "application_details": Section(
         application_details,
         (
             "created_at",
@@ -206,7 +206,7 @@ SECTIONS = {
             "application_status",
         ),
     ),
-    "main/general_customer_details": Section(
+    "general_customer_details": Section(
         general_customer_details,
         (
             "full_name",
@@ -218,8 +218,8 @@ SECTIONS = {
             "gender",
         ),
     ),
-    "main/autogiro": Section(autogiro, ("created_at", "personal_identifier", "account_number", "status")),
-    "main/signatures": Section(
+    "autogiro": Section(autogiro, ("created_at", "personal_identifier", "account_number", "status")),
+    "signatures": Section(
         signatures,
         (
             "created_at",
@@ -232,14 +232,14 @@ SECTIONS = {
             "user_agent",
         ),
     ),
-    "main/external_lookup_listings": Section(
+    "external_lookup_listings": Section(
         external_lookup_listings, ("created_at", "spar_id", "spar_ts", "uc_id", "uc_ts")
     ),
-    "main/internal_notes": Section(
+    "internal_notes": Section(
         internal_notes,
         ("id", "created_at", "created_by", "content", "customer_id", "application_id", "files", "type"),
     ),
-    "dolph/bank_accounts": Section(
+    "bank_accounts": Section(
         bank_accounts,
         (
             "id",
@@ -254,7 +254,7 @@ SECTIONS = {
             "updated_at",
         ),
     ),
-    "dolph/bank_transactions": Section(
+    "bank_transactions": Section(
         bank_transactions,
         (
             "account_id",
@@ -270,7 +270,7 @@ SECTIONS = {
         ),
         ("account_id", "date"),
     ),
-    "sendout/communications": Section(
+    "communications": Section(
         communications, ("scheduled_at", "status", "type", "recipient", "content"), ("scheduled_at",)
     ),
 }

@@ -153,7 +153,7 @@ def subjects(spark):
 def test_report_files(spark, tmp_path):
     sendouts, ids = subjects(spark)
     requests = spark.createDataFrame([(7,), (3,), (999,)], "customer_id int")
-    name = "sendout/communications"
+    name = "communications"
     section = subject_report.SECTIONS[name]
     subject_report.write_report({"sendouts": sendouts}, requests, str(tmp_path), {name: section})
     folders = sorted(p.split("/")[-1] for p in glob.glob(f"{tmp_path}/{name}/_customer=*"))
@@ -173,16 +173,16 @@ def test_every_section_has_its_header(spark):
     from workload import reports
 
     built = {
-        "main/contact_details": reports.subject_contacts,
-        "main/application_details": reports.subject_applications,
-        "main/general_customer_details": reports.subject_general,
-        "main/autogiro": reports.subject_autogiro,
-        "main/signatures": reports.subject_signatures,
-        "main/external_lookup_listings": reports.subject_lookups,
-        "main/internal_notes": reports.subject_notes,
-        "dolph/bank_accounts": reports.subject_accounts,
-        "dolph/bank_transactions": reports.subject_transactions,
-        "sendout/communications": reports.subject_communications,
+        "contact_details": reports.subject_contacts,
+        "application_details": reports.subject_applications,
+        "general_customer_details": reports.subject_general,
+        "autogiro": reports.subject_autogiro,
+        "signatures": reports.subject_signatures,
+        "external_lookup_listings": reports.subject_lookups,
+        "internal_notes": reports.subject_notes,
+        "bank_accounts": reports.subject_accounts,
+        "bank_transactions": reports.subject_transactions,
+        "communications": reports.subject_communications,
     }
     assert built.keys() == subject_report.SECTIONS.keys()
     for name, query in built.items():

@@ -37,15 +37,16 @@ def money_sum(column: str) -> Column:
 
 
 def registry():
-    """Two dicts and a decorator that files a query and its SQL under the query's name."""
+    """Two dicts and a decorator that files a query and its SQL under a name (the query's own by default)."""
     queries: dict = {}
     oracles: dict = {}
 
-    def register(oracle: str | None):
+    def register(oracle: str | None, name: str | None = None):
         def add(query):
-            queries[query.__name__] = query
+            key = name or query.__name__
+            queries[key] = query
             if oracle is not None:
-                oracles[query.__name__] = oracle
+                oracles[key] = oracle
             return query
 
         return add

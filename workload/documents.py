@@ -143,7 +143,8 @@ def policy_projection(spark, sf_dir):
     SELECT event_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN ts WHEN 'click' THEN ts
            WHEN 'signup' THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS at
     FROM events
-    """
+    """,
+    name="lenient_timestamp",
 )
 def lenient_times(spark, sf_dir):
     """Times in ISO and mail layouts, dates, and text that is no time."""

@@ -48,7 +48,8 @@ QUERIES, ORACLES, register = registry()
     SELECT e.table_name, expected_rows, loaded_rows,
            coalesce(expected_rows * CAST(0.999 AS DOUBLE) <= loaded_rows, false) AS passed
     FROM e LEFT JOIN a ON e.table_name = a.table_name
-    """
+    """,
+    name="row_count_check",
 )
 def row_counts(spark, sf_dir):
     """Row counts of source and loaded tables, compared with a tolerance."""
@@ -114,7 +115,8 @@ CONTRACT = parse_specs(
     """
     SELECT 'lines' AS table_name, 'l_tax' AS column_name, 'missing' AS status
     UNION ALL SELECT 'lines', 'rebate', 'extra' WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_discount > 0)
-    """
+    """,
+    name="schema_drift",
 )
 def schema_drift_documents(spark, sf_dir):
     """Differences between a contract and the columns of landed documents."""
@@ -194,7 +196,8 @@ def coverage_total(spark, sf_dir):
                 WHEN date_diff('microsecond', max(ts), TIMESTAMP '2024-01-30 12:00:00') > 43210 * 1000000::BIGINT THEN 'warn'
                 ELSE 'pass' END AS status
     FROM events GROUP BY 1
-    """
+    """,
+    name="freshness",
 )
 def freshness_by_type(spark, sf_dir):
     """Newest time, age against a fixed time and status per event type."""

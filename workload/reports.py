@@ -318,7 +318,7 @@ def subject_files(spark, sf_dir):
     """A whole section written per customer and read back."""
     path = shared_path(spark, "subject_files")
     tables = {"transactions": _transactions(spark, sf_dir)}
-    name = "dolph/bank_transactions"
+    name = "bank_transactions"
     section = report.SECTIONS[name]
     report.write_report(tables, _requests(spark, sf_dir), path, {name: section})
     schema = ", ".join(f"{c} string" for c in section.header) + f", {report.FOLDER} bigint"

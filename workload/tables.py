@@ -11,6 +11,7 @@ from lakeferry.operators.derived import lifecycle
 from lakeferry.operators.features import FEATURE_SETS, risk_dataset
 from lakeferry.operators.merge import apply_diff, delete_insert, table_diff, upsert
 from lakeferry.plans.backfill import copy_table
+from lakeferry.plans.exports import export_changes
 from lakeferry.sinks.storage import shared_path
 from lakeferry.sinks.tables import publish_checked, replace_partitions, write_ndjson, write_report_csv
 from lakeferry.sources.files import csv_to_ndjson, read_csv, read_ndjson
@@ -126,7 +127,8 @@ def snapshot_copy(spark, sf_dir):
            c_mktsegment FROM customer
     UNION ALL
     SELECT c_custkey + 1000000000000, c_name, c_nationkey, c_acctbal + 100, 'NEW' FROM customer WHERE c_mktsegment = 'BUILDING'
-    """
+    """,
+    name="upsert",
 )
 def upsert_rows(spark, sf_dir):
     """Changed and new rows merged into a table by key."""
@@ -194,7 +196,8 @@ def _altered(orders):
     UNION ALL
     SELECT 'insert', o_orderkey + 1000000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
     FROM orders WHERE o_orderpriority = '1-URGENT'
-    """
+    """,
+    name="table_diff",
 )
 def table_diff_rows(spark, sf_dir):
     """Inserted, updated and deleted rows between two states of a table."""
@@ -202,6 +205,24 @@ def table_diff_rows(spark, sf_dir):
     return table_diff(orders, _altered(orders), ["o_orderkey"])
 
 
+@register(
+    """
+    SELECT 'delete' AS change, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal < -500
+    UNION ALL
+    SELECT 'update', c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal >= -500
+    """
+)
+def changes_export(spark, sf_dir):
+    """Changes since the last exported state of a table, written as JSON and read back."""
+    path, view = shared_path(spark, "changes_export"), new_view("changes_export")
+    customer = table(spark, sf_dir, "customer")
+    balance = F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    later = customer.filter("c_acctbal >= -500").withColumn("c_acctbal", balance)
+    for state, name in ((customer, "first"), (later, "second")):
+        export_changes(spark, state, ["c_custkey"], view, f"{path}/table", f"{path}/{name}")
+    return read_ndjson(spark, f"{path}/second", "change string, " + ", ".join(f"{c} {t}" for c, t in customer.dtypes))
+
+
 @register(
     """
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
@@ -223,7 +244,8 @@ def diff_applied(spark, sf_dir):
     SELECT user_id, min(CASE WHEN event_type = 'signup' THEN ts END) AS created_at,
            max(CASE WHEN event_type = 'purchase' THEN ts END) AS deleted_at
     FROM events GROUP BY 1
-    """
+    """,
+    name="lifecycle",
 )
 def lifecycle_table(spark, sf_dir):
     """First and last action per key."""
