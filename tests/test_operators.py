@@ -250,3 +250,59 @@ def test_risk_dataset_rows(spark):
     got = risk_dataset(lookups, facts, FEATURE_SETS["se"])
     assert got.columns == ["submission_id", "customer_id", "loans", "uc", "room", *OUTCOMES]
     assert rows(got.select("submission_id", "loans", "uc", "room", "dpoint_fpd")) == [(1, 1, 1, 1, 0.5), (6, 6, 6, 6, None)]
+
+
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def skew_settings(spark):
+    for k, v in SKEW_SETTINGS.items():
+        spark.conf.set(k, v)
+    yield
+    for k in SKEW_SETTINGS:
+        spark.conf.unset(k)
+
+
+def hot(spark, n=120_000):
+    """A third of all rows share one key and its newest version."""
+    key = F.when(F.col("n") % 3 == 0, 1).otherwise(F.col("n") % 997 + 2)
+    version = F.when(F.col("n") % 3 == 0, 9).otherwise(F.col("n") % 5)
+    return spark.range(n).toDF("n").repartition(6).select(key.alias("id"), version.alias("v"), "n", F.sha2(F.col("n").cast("string"), 256).alias("t"))
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df)
+
+
+def test_hot_ties_are_split_over_tasks(spark, skew_settings):
+    got = latest_per_key(hot(spark), ["id"], "v")
+    assert "skew=true" in final_plan(got)
+    want = hot(spark).filter("v = 9 or id <> 1").groupBy("id").agg(F.max("v").alias("m"))
+    assert got.filter("id = 1").count() == 40_000
+    assert got.count() == hot(spark).join(want, "id").filter("v = m").count()
+
+
+def test_hot_customer_is_split_over_tasks(spark, skew_settings):
+    from lakeferry.plans.subject_report import requested
+
+    requests = spark.range(1, 500).toDF("customer_id").repartition(3)
+    got = requested(hot(spark), requests, "id")
+    assert "skew=true" in final_plan(got)
+    assert got.filter("id = 1").count() == 40_000
+
+
+def test_hot_target_key_of_an_upsert(spark, skew_settings):
+    source = spark.range(2, 401).repartition(3).select("id", F.lit(0).cast("long").alias("v"), F.col("id").alias("n"), F.lit("t").alias("t"))
+    got = upsert(hot(spark), source, ["id"])
+    assert "skew=true" in final_plan(got)
+    assert got.filter("id = 1").count() == 40_000 and got.filter("id = 5").count() == 1
+    assert got.columns == ["id", "v", "n", "t"]
