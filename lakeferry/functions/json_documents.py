@@ -51,6 +51,11 @@ def text_at(document: Column, path: str) -> Column:
     return F.when(~is_nested(value), F.try_variant_get(value, "$", "string"))
 
 
+def any_text(document: Column, path: str) -> Column:
+    """Text of a value at a path; JSON text for objects and arrays."""
+    return F.try_variant_get(document, path, "string")
+
+
 def texts_at(document: Column, path: str) -> Column:
     """Array of the scalars at a path; null when the value is not an array of scalars."""
     items = F.try_variant_get(document, path, "array<variant>")
@@ -171,14 +176,15 @@ def project_json(
         for path in f.paths:
             if path != "$":
                 leaves.add(path)
-    readers = {"document": document_at, "texts": texts_at}
+    readers = {"document": document_at, "texts": texts_at, "text": text_at}
 
-    def value(kind: str, path: str) -> Column:
-        return readers.get(kind, text_at)(document if path == "$" else leaves.value(path), "$")
+    def value(field: JsonField, path: str) -> Column:
+        part = document if path == "$" else leaves.value(path)
+        # the text of an object or array fits none of the other kinds, so a single path needs no check
+        reader = readers.get(field.kind, any_text if len(field.paths) == 1 else text_at)
+        return reader(part, "$")
 
-    found = [
-        F.coalesce(*[value(f.kind, p) for p in f.paths]).alias(f"{_PARSED}_{f.name}") for f in fields
-    ]
+    found = [F.coalesce(*[value(f, p) for p in f.paths]).alias(f"{_PARSED}_{f.name}") for f in fields]
     values = {f.name: F.col(f"{_PARSED}_{f.name}") for f in fields}
     added = [typed(values[f.name], f.kind).alias(f.name) for f in fields]
     parsed = df.withColumn(_PARSED, F.try_parse_json(F.col(column)))

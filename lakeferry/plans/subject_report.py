@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.functions.xml import signed_text
-from lakeferry.sinks.tables import CSV_LAYOUT
+from lakeferry.sinks.tables import CSV_LAYOUT, laid_out
 
 SUBJECT = "customer_id"
 TIME_LAYOUT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -288,10 +288,7 @@ def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mappi
         rows = section.rows(tables, requests)
         order = [F.col(FOLDER), *[F.asc_nulls_last(c) for c in section.order]]
         (
-            rows.withColumn(FOLDER, F.col(SUBJECT))
-            .select(FOLDER, *section.header)
-            .repartitionByRange(*order)
-            .sortWithinPartitions(*order)
+            laid_out(rows.withColumn(FOLDER, F.col(SUBJECT)).select(FOLDER, *section.header), order)
             .write.mode("overwrite")
             .options(**CSV_LAYOUT)
             .partitionBy(FOLDER)

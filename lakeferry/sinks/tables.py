@@ -80,9 +80,21 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     Ranges over both spread a large day over many tasks, each with its own range of
     keys, so file statistics let readers skip by key.
     """
-    order = [*partition_by, *cluster_by]
-    names = [F.col(quoted(c)) for c in order]
-    return df.repartitionByRange(*names).sortWithinPartitions(*names)
+    return laid_out(df, [F.col(quoted(c)) for c in [*partition_by, *cluster_by]])
+
+
+def laid_out(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Range-partition and sort rows.
+
+    The task that a row comes from is the last part of its range, so rows that are equal
+    in all order columns, even copies of one row, are still spread over several tasks.
+    """
+    return (
+        df.withColumn("__task", F.spark_partition_id())
+        .repartitionByRange(*order, F.col("__task"))
+        .sortWithinPartitions(*order)
+        .drop("__task")
+    )
 
 
 def write_snapshot(

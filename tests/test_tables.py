@@ -113,6 +113,21 @@ def test_hot_day_is_split_by_rebalance(spark, tmp_path):
     assert len(glob.glob(str(tmp_path / "t" / "part=0" / "*.parquet"))) > 1
 
 
+def test_copies_of_a_row_are_spread(spark, tmp_path):
+    # a third of the rows are copies of one row, and all are of one day
+    df = spark.range(3000).repartition(6).select(F.lit(1).alias("p"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = tables.write_snapshot(df, str(tmp_path), ["p"], ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(path)
+    sizes = [r["n"] for r in back.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert back.count() == 3000 and back.filter("k = 5").count() == 1001
+    assert len(sizes) == 4 and max(sizes) < 1200
+    assert back.filter("k = 5").groupBy(F.input_file_name()).count().count() > 1
+
+
 def test_replace_partitions_leaves_others(spark, tmp_path):
     path = str(tmp_path)
     schema = "v int, date string, country string"
@@ -215,7 +230,6 @@ def test_artifacts_and_xml_files(spark, tmp_path):
     assert artifact.first()["tables"][0]["name"] == "core.a"
     (tmp_path / "r.xml").write_text("<e><b><series><seriesname>USD</seriesname><unit>1</unit></series></b></e>")
     assert files.read_xml_series(spark, str(tmp_path / "r.xml"), "seriesname string, unit string").first()["seriesname"] == "USD"
-    assert files.message_schema({"id": "integer", "_ingested_ts": "text"}).names == ["id"]
 
 
 def test_messages(spark, tmp_path):
@@ -278,3 +292,23 @@ def test_jdbc_reads_are_split():
     assert session.asked[-1] == "(select id from t where updated_at >= '2024-01-01 00:00:00+00') q"
     jdbc.read_full(session, connection, spec)
     assert session.asked[-1] == "(select id from t) q"
+
+
+class OneRow(Recorder):
+    def __init__(self, row):
+        super().__init__()
+        self.row = row
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.row
+
+
+def test_jdbc_bounds():
+    spec = TableSpec("t", (("id", "bigint"),))
+    session = OneRow({"lo": 3, "hi": 9})
+    assert jdbc.key_bounds(session, {"url": "u"}, spec) == (3, 9)
+    assert session.asked == ["(select min(id) as lo, max(id) as hi from t) q"]
+    assert jdbc.key_bounds(OneRow({"lo": None, "hi": None}), {"url": "u"}, spec) is None

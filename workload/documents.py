@@ -163,14 +163,14 @@ def lenient_times(spark, sf_dir):
 
 @register(
     """
-    SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 0 ELSE 3 END AS items,
-           CASE WHEN p_size % 5 = 0 THEN '' ELSE p_type || '/' || p_name || ', ' || p_brand || '/?' END AS text
+    SELECT p_partkey, CASE WHEN p_size < 10 THEN 0 ELSE 3 END AS items,
+           CASE WHEN p_size < 10 THEN '' ELSE p_type || '/' || p_name || ', ' || p_brand || '/?' END AS text
     FROM part
     """
 )
 def array_text(spark, sf_dir):
     """Array text with quoted commas, nulls and empty arrays."""
-    text = F.when(F.col("p_size") % 5 == 0, "{}").otherwise(
+    text = F.when(F.col("p_size") < 10, "{}").otherwise(
         F.concat(F.lit("{"), "p_type", F.lit(' , "'), "p_name", F.lit(", "), "p_brand", F.lit('",NULL}'))
     )
     items = array_from_text(text)
