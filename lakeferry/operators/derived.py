@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeferry.functions.text import name_part
 
@@ -45,10 +46,11 @@ def freshness(
         condition = conditions.get(name)
         rows = df if condition is None else df.filter(condition)
         dataset, model = name.split(".", 1)
-        return rows.agg(F.max(F.col(column).cast("timestamp")).alias("max_timestamp_in_table")).select(
+        newest = rows.agg(F.max(column).alias("max_timestamp_in_table"))
+        return newest.select(
             F.lit(dataset).alias("dataset_name"),
             F.lit(model).alias("model_name"),
-            "max_timestamp_in_table",
+            utc_instant(newest, "max_timestamp_in_table").alias("max_timestamp_in_table"),
             F.lit(condition).cast("string").alias("filter_condition"),
         )
 
@@ -64,9 +66,18 @@ def freshness(
     )
 
 
+def utc_instant(df: DataFrame, column: str) -> Column:
+    """Timestamp of a column; dates and times without a zone are UTC."""
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return value
+    return F.concat(value.cast("timestamp_ntz").cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def with_age(df: DataFrame, at: str, now: datetime, warn_after_s: int, error_after_s: int) -> DataFrame:
-    """Add the age in seconds against a fixed time and its status."""
-    micros = F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.col(at).cast("timestamp"))
+    """Add the age in seconds against a fixed time and its status; times without a zone are UTC."""
+    fixed = F.lit(now.isoformat() + ("Z" if now.tzinfo is None else "")).cast("timestamp")
+    micros = F.unix_micros(fixed) - F.unix_micros(utc_instant(df, at))
     age = micros / F.lit(1e6)
     status = (
         F.when(age.isNull(), "runtime error")

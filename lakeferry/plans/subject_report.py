@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeferry.functions.xml import signed_text
+from lakeferry.sinks.storage import shared_path
 from lakeferry.sinks.tables import CSV_LAYOUT, laid_out
 
 SUBJECT = "customer_id"
@@ -283,7 +284,12 @@ def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mappi
 
     Rows are laid out in ranges of customer and row order: the rows of one customer stay
     sorted over their files, and a customer with very many rows is written by many tasks.
+    The requests are written once, so that ten sections do not compute them ten times.
     """
+    spark = requests.sparkSession
+    ids = shared_path(spark, "requests")
+    requests.select(SUBJECT).distinct().write.parquet(ids)
+    requests = spark.read.parquet(ids)
     for name, section in sections.items():
         rows = section.rows(tables, requests)
         order = [F.col(FOLDER), *[F.asc_nulls_last(c) for c in section.order]]

@@ -10,6 +10,7 @@ from lakeferry.operators import chunks, guards
 from lakeferry.operators.derived import (
     TASK_COLUMNS,
     coverage_report,
+    freshness,
     freshness_results,
     lifecycle,
     long_running_tasks,
@@ -202,6 +203,21 @@ def test_coverage(spark):
     )
 
 
+def test_freshness_of_tables(spark):
+    now = datetime(2024, 7, 1, 12)
+    zoned = spark.sql("select timestamp'2024-07-01 11:00:00Z' as at union all select null")
+    plain = spark.sql("select timestamp_ntz'2024-06-30 12:00:00' as at, 1 as n union all select timestamp_ntz'2024-07-01 12:00:00', 2")
+    tables = {"a.zoned": (zoned, "at"), "a.plain": (plain, "at"), "b.empty": (zoned.filter("at is null"), "at"), "b.days": (spark.sql("select date'2024-06-01' as at"), "at")}
+    got = freshness(tables, now, 7200, 86_400, conditions={"a.plain": "n = 1"})
+    assert rows(got.select("model_name", "status", "max_timestamp_time_ago_in_s", "filter_condition")) == [
+        ("days", "error", 30.5 * 86_400, None),
+        ("empty", "runtime error", None, None),
+        ("plain", "warn", 86_400.0, "n = 1"),
+        ("zoned", "pass", 3600.0, None),
+    ]
+    assert got.first()["execution_date"] == date(2024, 7, 1)
+
+
 def test_freshness_results(spark):
     from lakeferry.sources.files import FRESHNESS_ARTIFACT
 

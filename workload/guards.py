@@ -226,7 +226,8 @@ def freshness_tables(spark, sf_dir):
         "web.events": (table(spark, sf_dir, "events"), "ts"),
     }
     rows = freshness(tables, datetime(2024, 1, 31), 86_400, 864_000, conditions={"shop.lines": "l_quantity > 10"})
-    return rows.withColumn("max_timestamp_in_table", F.col("max_timestamp_in_table").cast("timestamp_ntz"))
+    utc = F.to_utc_timestamp("max_timestamp_in_table", F.current_timezone()).cast("timestamp_ntz")
+    return rows.withColumn("max_timestamp_in_table", utc)
 
 
 @register(
