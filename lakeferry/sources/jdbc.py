@@ -63,20 +63,42 @@ def read_chunks(
 
 
 def read_incremental(
-    spark: SparkSession, connection: Mapping[str, str], spec: TableSpec, start: date, end: date | None = None
+    spark: SparkSession,
+    connection: Mapping[str, str],
+    spec: TableSpec,
+    start: date,
+    end: date | None = None,
+    bounds: tuple[int, int] | None = None,
+    max_tasks: int = 1_000,
 ) -> DataFrame:
-    """Rows changed since ``start``; one task per day when the partition column is filled.
+    """Rows changed since ``start``, without an upper end.
 
-    ``end`` only says up to which day the read is split. Rows after it, and rows
-    created before ``start`` but changed since, are in the chunk of the other days.
+    ``bounds`` (smallest and largest key) splits the read by key range, which also evens out
+    a busy day; ``end`` splits it by day of change. Rows outside them are read as well.
     """
     where = since(spec, start)
     if where is None:
-        return read_full(spark, connection, spec)
+        return read_full(spark, connection, spec, bounds, max_tasks=max_tasks)
     sql = select_text(spec, where)
-    if end is None or spec.partition_column is None:
+    if bounds is not None:
+        predicates = range_predicates(source_column(spec.chunk_column), *bounds, spec.chunk_rows, max_tasks)
+    elif end is not None:
+        # the watermark may be an expression over columns that are not in the contract
+        predicates = day_predicates(spec.ts_column, start, end, max_tasks)
+        return read_chunks_of_table(spark, connection, spec, [f"({where}) and {p}" for p in predicates])
+    else:
         return read_query(spark, connection, sql)
-    return read_chunks(spark, connection, sql, day_predicates(source_column(spec.partition_column), start, end))
+    return read_chunks(spark, connection, sql, predicates)
+
+
+def read_chunks_of_table(
+    spark: SparkSession, connection: Mapping[str, str], spec: TableSpec, predicates: Sequence[str]
+) -> DataFrame:
+    """Contract columns of a table, one task per predicate; predicates may use any of its columns."""
+    options = _base(connection)
+    url = options.pop("url")
+    rows = spark.read.jdbc(url, spec.source_name, predicates=list(predicates), properties=options)
+    return rows.select(*[rows[f"`{c}`"] for c in spec.column_names])
 
 
 def read_full(

@@ -255,6 +255,16 @@ def test_jdbc_texts():
     assert "table_name in ('events')" in jdbc.catalog_text([spec])
 
 
+class Selected:
+    """Stands for the rows that a read returns."""
+
+    def __getitem__(self, name):
+        return name
+
+    def select(self, *columns):
+        return columns
+
+
 class Recorder:
     """Stands for a session and keeps what a read would ask for."""
 
@@ -274,7 +284,7 @@ class Recorder:
 
     def jdbc(self, url, table, predicates, properties):
         self.asked.append((url, table, predicates, properties["fetchsize"]))
-        return "rows"
+        return Selected()
 
 
 def test_jdbc_reads_are_split():
@@ -286,7 +296,11 @@ def test_jdbc_reads_are_split():
     assert (url, table, fetch) == ("jdbc:x", "(select id from t) q", "10000") and len(predicates) == 3
     jdbc.read_full(session, connection, spec, days=(date(2024, 1, 1), date(2024, 1, 4)))
     assert len(session.asked[-1][2]) == 5 and session.asked[-1][2][-1].endswith("created_at is null)")
-    jdbc.read_incremental(session, connection, spec, date(2024, 1, 1), date(2024, 1, 2))
+    assert jdbc.read_incremental(session, connection, spec, date(2024, 1, 1), date(2024, 1, 2)) == ("`id`",)
+    _, table, predicates, _ = session.asked[-1]
+    assert table == "t" and len(predicates) == 3
+    assert all(p.startswith("(updated_at >= '2024-01-01 00:00:00+00') and (updated_at ") for p in predicates)
+    jdbc.read_incremental(session, connection, spec, date(2024, 1, 1), bounds=(1, 30))
     assert "where updated_at >= " in session.asked[-1][1] and len(session.asked[-1][2]) == 3
     jdbc.read_incremental(session, connection, spec, date(2024, 1, 1))
     assert session.asked[-1] == "(select id from t where updated_at >= '2024-01-01 00:00:00+00') q"
