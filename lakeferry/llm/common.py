@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
 def pieces(column: pa.Array, most_bytes: int) -> Iterator[pa.Array]:
     """The batch cut into runs of rows of about ``most_bytes`` bytes of text, at least one row each."""
     start, size = 0, 0
-    lengths = pa.compute.binary_length(column).fill_null(0).to_pylist()
+    lengths = pc.binary_length(column).fill_null(0).to_pylist()
     for i, length in enumerate(lengths):
         if i > start and size + length > most_bytes:
             yield column.slice(start, i - start)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import simhash, suffixes
+from lakeferry.llm import simhash, suffixes, tokens
 from lakeferry.llm.common import table
+from lakeferry.sinks.storage import shared_path
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +29,16 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written in doc_id order and read back from the files."""
+    path = shared_path(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path)
+    return tokens.read_tokens(spark, path)
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op4_token_files": op4_token_files,
 }
 ORACLES: dict[str, str] = {}
