@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import simhash, suffixes, tokens
+from lakeferry.llm import compression, language, simhash, suffixes, tokens
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -36,9 +36,21 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, path)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_token_files": op4_token_files,
+    "op8_language_id": op8_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}

@@ -29,6 +29,14 @@ def _largest(classes: np.ndarray) -> dict[int, np.ndarray]:
     return found
 
 
+def _classes(values: np.ndarray) -> np.ndarray:
+    """Selector with the most values a word into which each value fits; small values are looked up."""
+    most = int(values.max())
+    if most < 1 << 20:
+        return np.searchsorted(_LIMITS, np.arange(most + 1, dtype=np.uint64), side="right").astype(np.uint8)[values]
+    return np.searchsorted(_LIMITS, values, side="right").astype(np.uint8)
+
+
 def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, offsets, escapes): ``offsets`` has the first word of each block of ``block`` values.
 
@@ -41,7 +49,7 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
     flat[:n] = values
     padded = np.zeros((blocks, block + _MOST), np.uint64)
     padded[:, :block] = flat.reshape(blocks, block)
-    classes = np.searchsorted(_LIMITS, padded, side="right").astype(np.uint8)
+    classes = _classes(padded)
     largest = _largest(classes)
     choice = np.full(classes.shape, ESCAPE, np.uint8)
     for selector in reversed(range(len(LAYOUTS))):
