@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, simhash, suffixes, tokens
+from lakeferry.llm import compression, language, simhash, suffixes, supervision, tokens
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -36,6 +36,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, path)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    found = supervision.judged(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good"
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identified(table(spark, sf_dir, "documents"))
@@ -50,6 +58,7 @@ QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_token_files": op4_token_files,
+    "op5_quality_rules": op5_quality_rules,
     "op8_language_id": op8_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
