@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, simhash, suffixes, supervision, tokens
+from lakeferry.llm import compression, language, lempel_ziv, simhash, suffixes, supervision, tokens
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -44,6 +44,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows that a document with a smaller id has."""
+    return lempel_ziv.removed(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identified(table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_token_files": op4_token_files,
     "op5_quality_rules": op5_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_language_id": op8_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
