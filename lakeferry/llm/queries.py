@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, lempel_ziv, simhash, suffixes, supervision, tokens
+from lakeferry.llm import compression, language, lempel_ziv, simhash, suffixes, supervision, tokens, wrapper
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -49,6 +49,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel_ziv.removed(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrapper.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identified(table(spark, sf_dir, "documents"))
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
