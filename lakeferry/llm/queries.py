@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, lempel_ziv, simhash, suffixes, supervision, tokens, wrapper
+from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, suffixes, supervision, tokens, wrapper
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -29,6 +29,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.license_notices(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written in doc_id order and read back from the files."""
     path = shared_path(spark, "tokens")
@@ -59,6 +64,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain membership and rate of every document."""
+    found = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    shares = [F.col("p")[k].alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)]
+    return found.select("doc_id", "n_tokens", *shares, "rate")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -67,11 +79,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
     "op5_quality_rules": op5_quality_rules,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_language_id": op8_language_id,
+    "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
