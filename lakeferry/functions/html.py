@@ -11,8 +11,14 @@ ENTITIES = (
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
+    ("&apos;", "'"),
+    ("&minus;", "\u2212"),
+    ("&ndash;", "\u2013"),
+    ("&mdash;", "\u2014"),
+    ("&euro;", "\u20ac"),
+    ("&percnt;", "%"),
+    ("&comma;", ","),
+    ("&period;", "."),
 )
 
 
@@ -31,13 +37,34 @@ def plain_text(html: Column) -> Column:
     resolved = bare
     for name, char in ENTITIES:
         resolved = F.replace(resolved, F.lit(name), F.lit(char))
+    for digits, base in ((r"&#(\d{1,7});", 10), (r"&#[xX]([0-9a-fA-F]{1,6});", 16)):
+        resolved = _numbered(resolved, digits, base)
+    # last, so that what it gives is not resolved again
+    resolved = F.replace(resolved, F.lit("&amp;"), F.lit("&"))
     text = F.when(bare.contains("&"), resolved).otherwise(bare)
     return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
+def _numbered(text: Column, digits: str, base: int) -> Column:
+    """Numeric references of one base resolved, each distinct one by one replacement."""
+    mark = F.lit("&#" if base == 10 else "&#x")
+    return F.aggregate(
+        F.array_distinct(F.regexp_extract_all(text, F.lit(digits), F.lit(1))),
+        F.replace(text, F.lit("&#X"), F.lit("&#x")),
+        lambda found, x: F.replace(found, F.concat(mark, x, F.lit(";")), _char(x, base)),
+    )
+
+
+def _char(digits: Column, base: int) -> Column:
+    """Character of a code in digits."""
+    code = F.lpad(F.conv(digits, base, 16), 8, "0")
+    return F.decode(F.unhex(code), "UTF-32")
+
+
 def first_table(html: Column, css_class: str | None = None) -> Column:
     """Inside of the first table, or of the first one with exactly this class; null if there is none."""
-    attrs = r"(?:\s[^>]*)?" if css_class is None else rf'\s[^>]*class="{css_class}"[^>]*'
+    quote = """["']?"""
+    attrs = r"(?:\s[^>]*)?" if css_class is None else rf"(?=\s)[^>]*\sclass\s*=\s*{quote}{css_class}{quote}(?=[\s>])[^>]*"
     return F.nullif(F.regexp_extract(html, rf"(?is)<table{attrs}>(.*?)</table\s*>", 1), F.lit(""))
 
 

@@ -9,6 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeferry.functions.normalize import quoted
+from lakeferry.functions.times import zoned_text
+
 _PARSED = "__document"
 
 
@@ -68,9 +71,7 @@ def lenient_timestamp(text: Column) -> Column:
     Text without a zone is UTC, whatever the session zone is.
     """
     iso = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
-    with_time = F.when(text.rlike(r"\d:\d"), F.trim(text)).otherwise(F.concat(F.trim(text), F.lit(" 00:00:00")))
-    has_zone = with_time.rlike(r":[\d.]+\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]+)$")
-    zoned = F.when(has_zone, with_time).otherwise(F.concat(with_time, F.lit("Z")))
+    zoned = zoned_text(text)
     # the weekday is cut off because Spark does not read weekday names
     mail = F.regexp_extract(text, r"^\s*[A-Za-z]{3},\s*(\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2} \S+)\s*$", 1)
     return F.coalesce(
@@ -136,12 +137,26 @@ class _Leaves:
         if any(isinstance(k, int) for k in node):
             items = [self._type(child) for child in node.values()]
             return f"array<{items[0]}>"
-        return "struct<" + ", ".join(f"`{k}`: {self._type(child)}" for k, child in node.items()) + ">"
+        return "struct<" + ", ".join(f"{quoted(k)}: {self._type(child)}" for k, child in node.items()) + ">"
+
+
+_STEP = re.compile(r"""\.([^.\[\]'"\s]+)|\[(\d+)\]|\['([^']*)'\]|\["([^"]*)"\]""")
 
 
 def _steps(path: str) -> list[str | int]:
-    """Keys and list positions of a path such as ``$.a.b[0]``."""
-    return [int(index) if index else key for key, index in re.findall(r"\.(\w+)|\[(\d+)\]", path)]
+    """Keys and list positions of a path such as ``$.a.b[0]`` or ``$['a b']``; any other text is refused."""
+    steps: list[str | int] = []
+    at = 1
+    while path.startswith("$") and at < len(path):
+        step = _STEP.match(path, at)
+        if step is None:
+            break
+        key, index, single, double = step.groups()
+        steps.append(int(index) if index is not None else next(k for k in (key, single, double) if k is not None))
+        at = step.end()
+    if not path.startswith("$") or at < len(path):
+        raise ValueError(f"no JSON path: {path}")
+    return steps
 
 
 def _grafted(tree: dict, steps: list[str | int]) -> bool:
@@ -167,7 +182,8 @@ def project_json(
 
     The text is parsed once, all paths are fetched together, and the casts come after
     that. A value that does not fit its type becomes null; with ``rejects`` the names
-    of such fields are listed in an extra array column.
+    of such fields are listed in an extra array column, and the name of ``column`` itself
+    where the text could not be read at all.
     """
     kept = [F.col(f"`{c}`") for c in df.columns]
     document = F.col(_PARSED)
@@ -189,13 +205,15 @@ def project_json(
     added = [typed(values[f.name], f.kind).alias(f.name) for f in fields]
     parsed = df.withColumn(_PARSED, F.try_parse_json(F.col(column)))
     fetched = parsed.select(*kept, document, *leaves.structs(document))
-    rows = fetched.select(*kept, *found)
+    unread = F.when(F.col(column).isNotNull() & document.isNull(), F.lit(column)).alias(f"{_PARSED}_unread")
+    rows = fetched.select(*kept, *found, unread)
     if rejects is None:
         return rows.select(*kept, *added)
     checked = [f for f in fields if f.kind in _CHECKED]
     bad = [
         F.when(values[f.name].isNotNull() & typed(values[f.name], f.kind).isNull(), F.lit(f.name)) for f in checked
     ]
+    bad.append(F.col(f"{_PARSED}_unread"))
     none = F.array(F.lit(None).cast("string"))
     return rows.select(*kept, *added, F.array_except(F.array(*bad), none).alias(rejects))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeferry.functions.times import instant, instant_literal
 from lakeferry.functions.types import spark_type
 from lakeferry.spec import INGESTED_TS, TableSpec
 
@@ -23,12 +24,12 @@ def project(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def with_ingested_ts(df: DataFrame, run_ts: datetime | str) -> DataFrame:
     """Stamp every row with the time of the run, so that a rerun gives the same rows."""
-    return df.withColumn(INGESTED_TS, F.lit(run_ts).cast("timestamp"))
+    return df.withColumn(INGESTED_TS, instant_literal(run_ts))
 
 
 def cast_timestamps(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast the columns declared as timestamps."""
-    casts = {c: F.col(quoted(c)).cast("timestamp") for c in spec.timestamp_columns if c in df.columns}
+    casts = {c: instant(F.col(quoted(c)), df.schema[c].dataType) for c in spec.timestamp_columns if c in df.columns}
     return df.withColumns(casts) if casts else df
 
 
@@ -58,8 +59,8 @@ def landed_column(name: str, declared: str, dtype: T.DataType, joined_lists: boo
     if isinstance(dtype, T.StructType | T.MapType | T.ArrayType):
         return document_text(column, dtype, joined_lists)
     if isinstance(dtype, T.BinaryType):
-        return F.decode(column, "UTF-8").cast(target)
-    return column.cast(target)
+        column, dtype = F.decode(column, "UTF-8"), T.StringType()
+    return instant(column, dtype) if target == T.TimestampType() else column.cast(target)
 
 
 def normalize_rows(df: DataFrame, spec: TableSpec, joined_lists: bool = False) -> DataFrame:

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def range_predicates(column: str, lower: int, upper: int, rows_per_chunk: int, max_chunks: int = 10_000) -> list[str]:
+def range_predicates(
+    column: str, lower: int, upper: int, rows_per_chunk: int, max_chunks: int | None = None
+) -> list[str]:
     """Predicates over a whole-number column that together cover every row exactly once.
 
+    Chunks have the contract's size; only a caller that gives ``max_chunks`` gets wider ones.
+
     The first chunk also takes smaller values and nulls, the last one larger values,
     so rows that arrive while the read runs are not lost.
     """
     span = max(upper - lower + 1, 1)
-    step = max(rows_per_chunk, -(-span // max_chunks))
+    step = max(rows_per_chunk, -(-span // max_chunks) if max_chunks else 1)
     starts = list(range(lower + step, upper + 1, step))
     if not starts:
         return ["1 = 1"]
@@ -28,44 +29,30 @@ def range_predicates(column: str, lower: int, upper: int, rows_per_chunk: int, m
 
 
 def day_predicates(
-    column: str, first: date, last: date, max_chunks: int = 2_000, other_days: bool = True
+    column: str, first: date, last: date, max_chunks: int | None = None, other_days: bool = True
 ) -> list[str]:
     """Half-open day ranges from ``first`` to ``last``, both included.
 
-    Days are grouped when there are more than ``max_chunks``. With ``other_days`` one
-    more predicate takes the rows outside the range and those without a date.
+    Days are UTC. They are grouped only if the caller gives ``max_chunks``. With ``other_days``
+    one more predicate takes the rows outside the range and those without a date.
     """
     days = (last - first).days + 1
     if days < 1:
         raise ValueError("the last day is before the first day")
-    width = -(-days // max_chunks)
+    width = -(-days // max_chunks) if max_chunks else 1
     starts = [first + timedelta(days=i) for i in range(0, days, width)]
     end = last + timedelta(days=1)
     bounds = [*starts, end]
     predicates = [
-        f"({column} >= '{a.isoformat()}' and {column} < '{b.isoformat()}')" for a, b in zip(bounds, bounds[1:])
+        f"({column} >= '{midnight(a)}' and {column} < '{midnight(b)}')" for a, b in zip(bounds, bounds[1:])
     ]
     if other_days:
         predicates.append(
-            f"({column} < '{first.isoformat()}' or {column} >= '{end.isoformat()}' or {column} is null)"
+            f"({column} < '{midnight(first)}' or {column} >= '{midnight(end)}' or {column} is null)"
         )
     return predicates
 
 
-def range_chunk(column: str, lower: int, upper: int, rows_per_chunk: int, max_chunks: int = 10_000) -> Column:
-    """Number of the chunk of ``range_predicates`` that a row is in, to see how even the chunks are."""
-    span = max(upper - lower + 1, 1)
-    step = max(rows_per_chunk, -(-span // max_chunks))
-    last = -(-span // step) - 1
-    number = F.floor((F.col(column) - lower) / step)
-    return F.least(F.greatest(F.coalesce(number, F.lit(0)), F.lit(0)), F.lit(last))
-
-
-def day_chunk(column: str, first: date, last: date, max_chunks: int = 2_000) -> Column:
-    """Number of the chunk of ``day_predicates`` that a row is in; other days come last."""
-    days = (last - first).days + 1
-    width = -(-days // max_chunks)
-    others = -(-days // width)
-    offset = F.datediff(F.to_date(column), F.lit(first))
-    inside = offset.between(0, days - 1)
-    return F.when(inside, F.floor(offset / width)).otherwise(F.lit(others))
+def midnight(day: date) -> str:
+    """Start of a day in UTC; databases drop the zone for columns without one."""
+    return f"{day.isoformat()} 00:00:00+00"

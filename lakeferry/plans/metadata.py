@@ -19,8 +19,8 @@ from lakeferry.operators.derived import (
     task_metadata,
 )
 from lakeferry.operators.guards import contract_columns, drift_summary, schema_drift, value_check
-from lakeferry.sinks.tables import DAY, publish, reload_day, write_ndjson, write_report_csv
-from lakeferry.sources.files import BAD_ROW, COVERAGE_ARTIFACT, FRESHNESS_ARTIFACT, read_artifact, read_csv
+from lakeferry.sinks.tables import DAY, beside, checked_rows, publish, reload_day, write_ndjson, write_report_csv
+from lakeferry.sources.files import MAX_BAD_ROWS, COVERAGE_ARTIFACT, FRESHNESS_ARTIFACT, read_artifact, read_csv
 from lakeferry.spec import TableSpec
 
 
@@ -56,11 +56,21 @@ def write_freshness(spark: SparkSession, artifact: str, execution_date: date, pa
 
 
 def load_report_day(
-    spark: SparkSession, csv: str, schema: T.StructType, path: str, day_column: str, day: date
-) -> None:
-    """Replace one day of a report table with a written report; bad rows are left out."""
-    rows = read_csv(spark, csv, schema, header_rows=1).filter(f"not {BAD_ROW}").drop(BAD_ROW)
+    spark: SparkSession,
+    csv: str,
+    schema: T.StructType,
+    path: str,
+    day_column: str,
+    day: date,
+    max_bad_rows: int = MAX_BAD_ROWS,
+) -> int:
+    """Replace one day of a report table with a written report; returns the number of bad rows.
+
+    Bad rows are left out and kept beside the table, unless there are too many: then the old day stays.
+    """
+    rows, bad = checked_rows(read_csv(spark, csv, schema, header_rows=1), beside(path), max_bad_rows)
     reload_day(spark, rows, path, day_column, day)
+    return bad
 
 
 def rebuild_lifecycle(

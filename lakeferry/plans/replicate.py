@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeferry.functions.json_documents import POLICY_FIELDS, JsonField, project_json
 from lakeferry.functions.normalize import normalize_rows, with_ingested_ts
 from lakeferry.operators.latest import latest_per_key
-from lakeferry.sinks.tables import DAY, append_raw, clustered, current_path, publish, reload_day, with_day
+from lakeferry.sinks.tables import DAY, append_to, clustered, current_path, publish, reload_day, switch, with_day
 from lakeferry.spec import INGESTED_TS, TableSpec
 
 
@@ -37,7 +37,7 @@ def load_raw(
     day_column = spec.partition_column if spec.ts_column else None
     path = current_path(spark, view)
     if spec.ts_column and not backfill and path is not None:
-        append_raw(rows, path, day_column)
+        append_to(spark, rows, view, day_column)
     elif day_column is not None:
         publish(spark, with_day(rows, day_column), view, root, [DAY])
     else:
@@ -51,7 +51,10 @@ def load_raw_day(
     path = current_path(spark, view)
     if path is None:
         raise ValueError(f"there is no table {view}")
-    reload_day(spark, landed(source, spec, run_ts), path, day_column, day)
+    rows = landed(source, spec, run_ts)
+    reload_day(spark, rows, path, day_column, day)
+    if set(rows.columns) - set(spark.table(view).columns):
+        switch(spark, view, path, grown=True)
 
 
 def refined(
@@ -62,8 +65,9 @@ def refined(
 
 
 def current_rows(raw: DataFrame, spec: TableSpec, ties: str = "all") -> DataFrame:
+    """Current versions; copies of one version, as a repeated run leaves them, count once."""
     tie_break = [] if ties == "all" else [F.xxhash64("*")]
-    return latest_per_key(raw, [spec.key], INGESTED_TS, ties, tie_break)
+    return latest_per_key(raw, [spec.key], INGESTED_TS, ties, tie_break).distinct()
 
 
 def with_documents(rows: DataFrame, documents: dict[str, Sequence[JsonField]] | None) -> DataFrame:

@@ -282,6 +282,9 @@ FOLDER = "_customer"
 def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mapping[str, Section] = SECTIONS) -> None:
     """Write all sections as CSV with headers, one folder per section and customer.
 
+    Only the folders of the requested customers are replaced. A customer without rows in a
+    section gets a file with the header alone.
+
     Rows are laid out in ranges of customer and row order: the rows of one customer stay
     sorted over their files, and a customer with very many rows is written by many tasks.
     The requests are written once, so that ten sections do not compute them ten times.
@@ -293,10 +296,15 @@ def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mappi
     for name, section in sections.items():
         rows = section.rows(tables, requests)
         order = [F.col(FOLDER), *[F.asc_nulls_last(c) for c in section.order]]
+        folder = f"{path.rstrip('/')}/{name}"
+        only = {"partitionOverwriteMode": "dynamic"}
         (
             laid_out(rows.withColumn(FOLDER, F.col(SUBJECT)).select(FOLDER, *section.header), order)
             .write.mode("overwrite")
-            .options(**CSV_LAYOUT)
+            .options(**CSV_LAYOUT, **only)
             .partitionBy(FOLDER)
-            .csv(f"{path.rstrip('/')}/{name}")
+            .csv(folder)
         )
+        without = requests.join(rows.select(SUBJECT).distinct(), SUBJECT, "left_anti")
+        header = without.select(F.col(SUBJECT).alias(FOLDER), F.lit(",".join(section.header)).alias("value"))
+        header.write.mode("overwrite").options(**only).partitionBy(FOLDER).text(folder)

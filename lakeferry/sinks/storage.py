@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """New path in the shared folder that the session names in ``spark.checkpoint.dir``.
+    """New path in the shared folder that the session names in ``spark.checkpoint.dir``, else in its warehouse.
 
-    A local session without that setting (as in tests) gets a temporary folder;
-    a cluster session without it is refused, since executors do not share local disks.
+    Both are folders that all executors share; a machine's own folders are never used.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="lakeferry-")
+    root = root or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,16 +6,22 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions.normalize import quoted
+from lakeferry.functions.times import day_of
 from lakeferry.operators.guards import CheckFailed
-from lakeferry.sources.files import BAD_ROW
+from lakeferry.sources.files import BAD_ROW, MAX_BAD_ROWS, read_csv
+from lakeferry.spec import TableSpec
 
 DAY = "_day"
 PATH_PROPERTY = "current_path"
+GROWN_PROPERTY = "grown"
+#: Folder beside the versions of a table for rows that did not fit.
+REJECTS = "rejects"
 # Layout of written CSV: header, quotes doubled inside quotes, texts not trimmed.
 CSV_LAYOUT = {
     "header": "true",
@@ -26,8 +32,8 @@ CSV_LAYOUT = {
 
 
 def with_day(df: DataFrame, column: str) -> DataFrame:
-    """Add the partition day of a timestamp or date column."""
-    return df.withColumn(DAY, F.to_date(quoted(column)))
+    """Add the partition day of a date or timestamp column, in UTC."""
+    return df.withColumn(DAY, day_of(F.col(quoted(column)), df.schema[column].dataType))
 
 
 def append_raw(df: DataFrame, path: str, day_column: str | None) -> None:
@@ -66,12 +72,26 @@ def reload_day(spark: SparkSession, df: DataFrame, path: str, day_column: str, d
 
     Fails when the table is absent or a row is of another day.
     """
-    columns = spark.read.parquet(path).columns
-    rows = require_value(with_day(df, day_column), DAY, F.lit(day)).select(*columns)
-    if rows.isEmpty():
+    known = spark.read.parquet(path).columns
+    if DAY not in known:
+        raise ValueError(f"the table at {path} is not partitioned by day")
+    rows = require_value(with_day(df, day_column), DAY, F.lit(day))
+    missing = [c for c in known if c not in rows.columns]
+    rows = rows.withColumns({c: F.lit(None).cast(spark.read.parquet(path).schema[c].dataType) for c in missing})
+    # the rows are counted by the write itself
+    seen = Observation()
+    replace_partitions(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path, [DAY])
+    if not observed(seen, "rows"):
         rows.drop(DAY).limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
-    else:
-        replace_partitions(rows, path, [DAY])
+
+
+def observed(seen: Observation, name: str) -> int:
+    """Number that a write has counted."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        # Spark leaves no numbers of a plan that it knows to be empty
+        return 0
 
 
 def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -127,23 +147,66 @@ def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def switch(spark: SparkSession, name: str, path: str) -> None:
+def switch(spark: SparkSession, name: str, path: str, grown: bool = False) -> None:
     """Let readers of ``name`` see the version at ``path`` from now on.
 
     The view is replaced in one catalog step, so readers see the old or the new
-    version, and a failed write changes nothing.
+    version, and a failed write changes nothing. The partition day is not shown.
+    ``grown``: files of the version differ in their columns; a column that a file
+    lacks is null in its rows. Only such a version has all its file footers read.
     """
-    spark.sql(
-        f"create or replace view {name} tblproperties ('{PATH_PROPERTY}' = '{path}') as select * from parquet.`{path}`"
-    )
+    options = " with ('mergeSchema' = 'true')" if grown else ""
+    rows = spark.sql(f"select * from parquet.`{path}`{options}")
+    columns = ", ".join(quoted(c) for c in rows.columns if c != DAY)
+    properties = f"'{PATH_PROPERTY}' = '{path}', '{GROWN_PROPERTY}' = '{str(grown).lower()}'"
+    spark.sql(f"create or replace view {name} tblproperties ({properties}) as select {columns} from parquet.`{path}`{options}")
 
 
 def current_path(spark: SparkSession, name: str) -> str | None:
-    """Path of the version that readers of ``name`` see; None when there is no such table."""
+    """Path of the version that readers of ``name`` see; None when there is no such table.
+
+    A table that was not published here has no such path and is refused.
+    """
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"show tblproperties {name} ('{PATH_PROPERTY}')").collect()
-    return rows[0]["value"]
+    path = _properties(spark, name).get(PATH_PROPERTY)
+    if path is None:
+        raise ValueError(f"{name} is no table of this toolkit")
+    return path
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {name}").collect()}
+
+
+def append_to(spark: SparkSession, df: DataFrame, name: str, day_column: str | None) -> None:
+    """Append row versions to a table and show the columns that came with them."""
+    path = current_path(spark, name)
+    if path is None:
+        raise ValueError(f"there is no table {name}")
+    append_raw(df, path, day_column)
+    if set(df.columns) - set(spark.table(name).columns):
+        switch(spark, name, path, grown=True)
+
+
+def drop_old_versions(spark: SparkSession, name: str, root: str, keep: int = 1) -> list[str]:
+    """Delete the versions below ``root`` but the one readers see and the ``keep`` newest others; returns their paths.
+
+    Nothing runs this by itself: a version may still be read by a running job.
+    """
+    current = current_path(spark, name)
+    if current is None:
+        raise ValueError(f"there is no table {name}")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s for s in store.listStatus(folder) if s.getPath().getName().startswith("version=")]
+    others = [s for s in found if s.getPath().getName() != current.rstrip("/").rsplit("/", 1)[-1]]
+    others.sort(key=lambda s: s.getModificationTime(), reverse=True)
+    dropped = [s.getPath() for s in others[keep:]]
+    for path in dropped:
+        store.delete(path, True)
+    return [p.toString() for p in dropped]
 
 
 def publish(
@@ -161,23 +224,67 @@ def publish(
     return path
 
 
+def checked_rows(rows: DataFrame, root: str, max_bad_rows: int) -> tuple[DataFrame, int]:
+    """The good rows of a file read and the number of bad ones, both written below ``root``.
+
+    The source is read once. Bad rows are kept in ``root``/rejects with their flag, whatever the outcome. Beyond the
+    limit the load fails, and nothing that readers see has changed.
+    """
+    path = f"{root.rstrip('/')}/checked={uuid.uuid4().hex}"
+    seen = Observation()
+    flagged = rows.observe(seen, F.count_if(BAD_ROW).alias("bad_rows"))
+    flagged.write.partitionBy(BAD_ROW).parquet(path)
+    found = observed(seen, "bad_rows")
+    back = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    if found:
+        back.filter(BAD_ROW).write.mode("append").parquet(f"{root.rstrip('/')}/{REJECTS}")
+    if found > max_bad_rows:
+        raise CheckFailed(f"{found} bad rows, at most {max_bad_rows} are allowed")
+    return back.filter(f"not {BAD_ROW}").drop(BAD_ROW), found
+
+
 def publish_checked(spark: SparkSession, rows: DataFrame, name: str, root: str, max_bad_rows: int) -> int:
-    """Replace a table with the good rows of a CSV read, unless too many rows are bad.
+    """Replace a table with the good rows of a file read, unless too many rows are bad.
 
-    The bad rows are counted by the write itself. Beyond the limit the load fails and
-    readers keep the old version. Returns the number of bad rows.
+    The bad rows are counted by the write itself and kept in ``root``/rejects. Beyond the
+    limit the load fails and readers keep the old version. Returns the number of bad rows.
     """
     seen = Observation()
     bad = F.count_if(BAD_ROW)
     good = rows.observe(seen, bad.alias("bad_rows")).filter(f"not {BAD_ROW}").drop(BAD_ROW)
     path = write_snapshot(good, root)
-    found = seen.get["bad_rows"]
+    found = observed(seen, "bad_rows")
+    if found:
+        rows.filter(BAD_ROW).write.mode("append").parquet(f"{root.rstrip('/')}/{REJECTS}")
     if found > max_bad_rows:
         raise CheckFailed(f"{found} bad rows, at most {max_bad_rows} are allowed")
     switch(spark, name, path)
     return found
 
 
+def csv_to_ndjson(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    spec: TableSpec,
+    header_rows: int = 0,
+    max_bad_rows: int = MAX_BAD_ROWS,
+) -> int:
+    """Rewrite a CSV export as JSON with real arrays and exact decimals, in as many files as tasks.
+
+    Bad rows are left out and kept beside the target, unless there are too many: then the target stays as it was.
+    """
+    rows = read_csv(spark, source, spec.spark_schema(), header_rows)
+    good, bad = checked_rows(rows, beside(target), max_bad_rows)
+    write_ndjson(good, target)
+    return bad
+
+
+def beside(path: str) -> str:
+    """Folder for what belongs to the loads of the table at ``path``."""
+    return f"{path.rstrip('/')}.load"
+
+
 def write_ndjson(df: DataFrame, path: str) -> None:
     """Newline-delimited JSON; null fields are written."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)

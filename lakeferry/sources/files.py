@@ -7,13 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakeferry.functions.normalize import array_from_text, quoted
+from lakeferry.functions.times import instant
 from lakeferry.spec import TableSpec
 
 BAD_ROW = "_bad_row"
-# Largest file that is read by a single task.
-MAX_UNSPLIT_BYTES = 4 * 2**30
+CORRUPT = "_corrupt"
+#: Files with quoted newlines up to this size are read by one task each.
+UNSPLIT_BYTES = 128 << 20
+#: Bad rows that a load of an export may have.
+MAX_BAD_ROWS = 10
 # what a quoted empty text is read as, to tell it from a missing value
 _EMPTY = "\u0000"
 
@@ -24,7 +29,7 @@ def read_csv(
     schema: T.StructType,
     header_rows: int = 0,
     quoted_newlines: bool = True,
-    max_file_bytes: int = MAX_UNSPLIT_BYTES,
+    max_file_bytes: int = UNSPLIT_BYTES,
 ) -> DataFrame:
     """Rows of a CSV export in the given schema, plus ``_bad_row``.
 
@@ -32,25 +37,26 @@ def read_csv(
     one of its values does not fit its column. Columns are read as text and cast by
     the plan, so the width of a row never counts as a fault.
 
-    With quoted newlines a file cannot be split and is one task, so a table must be
-    exported as many files: a file over ``max_file_bytes`` is refused. Without quoted
-    newlines large files are split.
+    Large files are split. Where values may hold newlines, files over ``max_file_bytes``
+    are read line by line and the lines of a row are joined again: a line starts a row if
+    the number of quotes before it in the file is even. Smaller files are one task each.
     """
     if header_rows not in (0, 1):
         raise ValueError("a CSV export has no or one header row")
-    if quoted_newlines:
-        _require_small_files(spark, path, max_file_bytes)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (
-        spark.read.schema(text)
-        .option("header", header_rows == 1)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", quoted_newlines)
-        .option("escape", '"')
-        .option("emptyValue", _EMPTY)
-        .csv(path)
-    )
+    layout = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": _EMPTY}
+    if quoted_newlines and _largest_file(spark, path) > max_file_bytes:
+        ddl = ", ".join(f"{quoted(f.name)} string" for f in text.fields)
+        raw = _csv_records(spark, path, header_rows).select(F.from_csv("record", ddl, layout).alias("r")).select("r.*")
+    else:
+        raw = (
+            spark.read.schema(text)
+            .options(**layout)
+            .option("header", header_rows == 1)
+            .option("enforceSchema", True)
+            .option("multiLine", quoted_newlines)
+            .csv(path)
+        )
     values = {f.name: _value(F.col(quoted(f.name)), f.dataType) for f in schema.fields}
     faults = [
         (F.col(quoted(f.name)) != _EMPTY) & values[f.name].isNull()
@@ -61,11 +67,44 @@ def read_csv(
     return raw.select(*[v.alias(n) for n, v in values.items()], bad.alias(BAD_ROW))
 
 
-def _require_small_files(spark: SparkSession, path: str, max_bytes: int) -> None:
+def _largest_file(spark: SparkSession, path: str) -> int:
     # only the file listing is read, not the content
-    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    if largest is not None and largest > max_bytes:
-        raise ValueError(f"a file of {largest} bytes cannot be split, at most {max_bytes} are allowed: export more files")
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
+def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
+    """Texts of the rows of CSV files whose values may hold newlines; the files are read in splits.
+
+    Lines are counted within their split, and what crosses splits is one small row for each of them: the quotes
+    before it and the last row start before it. Only rows of several lines are put together.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+        (F.length("value") - F.length(F.replace("value", F.lit('"')))).alias("quotes"),
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"))
+    splits = splits.select("file", "block", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("file", "block").orderBy("line")
+    counted = lines.join(splits, ["file", "block"]).withColumn(
+        "odd",
+        (F.col("ahead") + F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2,
+    )
+    started = counted.withColumn(
+        "start", F.last(F.when(F.col("odd") == 0, F.col("line")), ignorenulls=True).over(inside)
+    ).withColumn("first", (F.row_number().over(inside) == 1) & (F.col("block") == 0))
+    ends = started.groupBy("file", "block").agg(F.max("start").alias("last"))
+    ends = ends.select("file", "block", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    whole = started.join(ends, ["file", "block"]).withColumn("start", F.coalesce("start", "carried"))
+    joined = whole.groupBy("file", "start").agg(
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"), F.max("first").alias("first")
+    )
+    record = F.regexp_replace(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), r"\r$", "")
+    rows = joined.where("not first") if header_rows else joined
+    return rows.select(record.alias("record")).where(F.trim("record") != "")
 
 
 def _value(column: Column, dtype: T.DataType) -> Column:
@@ -74,12 +113,25 @@ def _value(column: Column, dtype: T.DataType) -> Column:
     column = F.nullif(column, F.lit(_EMPTY))
     if isinstance(dtype, T.ArrayType):
         return array_from_text(column)
+    if isinstance(dtype, T.TimestampType):
+        return instant(column, T.StringType(), lenient=True)
     return F.trim(column).try_cast(dtype)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Newline-delimited JSON with an explicit schema; files are split."""
-    return spark.read.schema(schema).json(path)
+    """Newline-delimited JSON with an explicit schema; files are split. A line that does not fit fails the job."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def read_ndjson_flagged(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Newline-delimited JSON plus ``_bad_row``, and ``_corrupt`` with the text of bad lines.
+
+    A line is bad when it is no JSON object or one of its values does not fit.
+    """
+    fields = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    wide = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.schema(wide).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return rows.withColumn(BAD_ROW, F.col(CORRUPT).isNotNull())
 
 
 def read_artifact(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -98,11 +150,3 @@ FRESHNESS_ARTIFACT = (
 def read_xml_series(spark: SparkSession, path: str, schema: str, row_tag: str = "series") -> DataFrame:
     """Elements of landed XML responses, one row each."""
     return spark.read.format("xml").schema(schema).option("rowTag", row_tag).load(path)
-
-
-def csv_to_ndjson(
-    spark: SparkSession, source: str, target: str, spec: TableSpec, header_rows: int = 0
-) -> None:
-    """Rewrite a CSV export as JSON with real arrays and exact decimals, in as many files as tasks."""
-    rows = read_csv(spark, source, spec.spark_schema(), header_rows)
-    rows.drop(BAD_ROW).write.mode("overwrite").option("ignoreNullFields", False).json(target)

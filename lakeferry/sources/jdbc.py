@@ -7,11 +7,11 @@ text runs inside the database.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeferry.operators.chunks import day_predicates, range_predicates
+from lakeferry.operators.chunks import day_predicates, midnight, range_predicates
 from lakeferry.spec import TableSpec
 
 FETCH_ROWS = 10_000
@@ -39,9 +39,8 @@ def since(spec: TableSpec, start: date) -> str | None:
 
 
 def of_day(column: str, day: date) -> str:
-    """Half-open range of one day, which an index on the column can serve."""
-    after = day + timedelta(days=1)
-    return f"{column} >= '{day.isoformat()}' and {column} < '{after.isoformat()}'"
+    """Half-open range of one day in UTC, which an index on the column can serve."""
+    return f"{column} >= '{midnight(day)}' and {column} < '{midnight(day + timedelta(days=1))}'"
 
 
 def subquery(sql: str) -> str:
@@ -69,17 +68,20 @@ def read_incremental(
     start: date,
     end: date | None = None,
     bounds: tuple[int, int] | None = None,
-    max_tasks: int = 1_000,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """Rows changed since ``start``, without an upper end.
 
     ``bounds`` (smallest and largest key) splits the read by key range, which also evens out
-    a busy day; ``end`` splits it by day of change. Rows outside them are read as well.
+    a busy day; ``end`` splits it by day of change. Rows outside them are read as well. With
+    neither the database is asked for the bounds. ``max_tasks`` widens the contract's chunks.
     """
     where = since(spec, start)
     if where is None:
         return read_full(spark, connection, spec, bounds, max_tasks=max_tasks)
     sql = select_text(spec, where)
+    if bounds is None and end is None:
+        bounds = key_bounds(spark, connection, spec, where)
     if bounds is not None:
         predicates = range_predicates(source_column(spec.chunk_column), *bounds, spec.chunk_rows, max_tasks)
     elif end is not None:
@@ -107,14 +109,19 @@ def read_full(
     spec: TableSpec,
     bounds: tuple[int, int] | None = None,
     days: tuple[date, date] | None = None,
-    max_tasks: int = 1_000,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """Whole table, split by key range or by creation day.
 
     ``bounds`` are the smallest and largest key, ``days`` the first and last day;
-    rows outside them are read as well.
+    rows outside them are read as well. With neither the database is asked for the
+    bounds of a whole-number key, else of the day column; a table without both is one
+    task. ``max_tasks`` widens the contract's chunks.
     """
     sql = select_text(spec)
+    if bounds is None and days is None:
+        bounds = key_bounds(spark, connection, spec)
+        days = day_bounds(spark, connection, spec) if bounds is None else None
     if bounds is not None:
         predicates = range_predicates(source_column(spec.chunk_column), *bounds, spec.chunk_rows, max_tasks)
     elif days is not None:
@@ -124,15 +131,37 @@ def read_full(
     return read_chunks(spark, connection, sql, predicates)
 
 
-def key_bounds(spark: SparkSession, connection: Mapping[str, str], spec: TableSpec) -> tuple[int, int] | None:
-    """Smallest and largest key, from one row the database computes; None for an empty table."""
-    column = source_column(spec.chunk_column)
-    row = read_query(
-        spark, connection, f"select min({column}) as lo, max({column}) as hi from {spec.source_name}"
-    ).first()
+WHOLE_NUMBERS = ("integer", "bigint", "smallint")
+
+
+def key_bounds(
+    spark: SparkSession, connection: Mapping[str, str], spec: TableSpec, where: str | None = None
+) -> tuple[int, int] | None:
+    """Smallest and largest key, from one row the database computes; None without rows or a whole-number key."""
+    if spec.declared.get(spec.chunk_column) not in WHOLE_NUMBERS:
+        return None
+    row = read_query(spark, connection, bounds_text(spec, spec.chunk_column, where)).first()
     return None if row is None or row["lo"] is None else (int(row["lo"]), int(row["hi"]))
 
 
+def day_bounds(spark: SparkSession, connection: Mapping[str, str], spec: TableSpec) -> tuple[date, date] | None:
+    """First and last day of the day column; None without rows or such a column."""
+    column = spec.partition_column or "created_at"
+    if column not in spec.declared:
+        return None
+    row = read_query(spark, connection, bounds_text(spec, column)).first()
+    return None if row is None or row["lo"] is None else (_day(row["lo"]), _day(row["hi"]))
+
+
+def bounds_text(spec: TableSpec, column: str, where: str | None = None) -> str:
+    name = source_column(column)
+    return f"select min({name}) as lo, max({name}) as hi from {spec.source_name}" + (f" where {where}" if where else "")
+
+
+def _day(value: date | datetime) -> date:
+    return value.date() if isinstance(value, datetime) else value
+
+
 def day_text(spec: TableSpec, column: str, day: date) -> str:
     """Select of one day of a table."""
     return select_text(spec, of_day(column, day))

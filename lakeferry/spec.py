@@ -69,6 +69,7 @@ class TableSpec:
             ignore_sanity_check=bool(body.get("ignore_sanity_check", False)),
             ignore_daily=bool(body.get("ignore_daily", False)),
             gdpr_sensitive=bool(body.get("gdpr_sensitive", False)),
+            key=body.get("key", "id").strip('"'),
         )
 
     @property

@@ -119,27 +119,32 @@ def test_diff_refuses_copies_of_a_key(spark):
         table_diff(df, df.limit(0), ["k"]).collect()
 
 
-@pytest.mark.parametrize("lower, upper, size, most", [(0, 99, 10, 100), (5, 5, 10, 100), (-7, 31, 4, 3), (0, 10, 11, 9)])
+@pytest.mark.parametrize("lower, upper, size, most", [(0, 99, 10, None), (0, 99, 10, 100), (5, 5, 10, 100), (-7, 31, 4, 3), (0, 10, 11, 9)])
 def test_range_chunks_cover_every_row_once(spark, lower, upper, size, most):
     values = [*range(lower - 3, upper + 4), None]
     df = spark.createDataFrame([(v,) for v in values], "id int")
     predicates = chunks.range_predicates("id", lower, upper, size, most)
-    assert len(predicates) <= most
-    got = df.select("id", chunks.range_chunk("id", lower, upper, size, most).alias("c"), *[F.expr(p).alias(f"p{i}") for i, p in enumerate(predicates)])
+    assert most is None or len(predicates) <= most
+    got = df.select("id", *[F.expr(p).alias(f"p{i}") for i, p in enumerate(predicates)])
+    step = max(size, -(-(upper - lower + 1) // most) if most else 1)
     for row in got.collect():
-        assert [i for i, hit in enumerate(row[2:]) if hit] == [row["c"]]
+        at = 0 if row["id"] is None else min(max((row["id"] - lower) // step, 0), len(predicates) - 1)
+        assert [i for i, hit in enumerate(row[1:]) if hit] == [at]
 
 
-@pytest.mark.parametrize("most", [100, 3])
+@pytest.mark.parametrize("most", [None, 100, 3])
 def test_day_chunks_cover_every_row_once(spark, most):
     first, last = date(2024, 2, 27), date(2024, 3, 5)
     times = [datetime(2024, 2, d, h) for d in range(25, 30) for h in (0, 23)]
     times += [datetime(2024, 3, d, h) for d in range(1, 8) for h in (0, 23)] + [None]
     df = spark.createDataFrame([(t,) for t in times], "at timestamp_ntz")
     predicates = chunks.day_predicates("at", first, last, most)
-    got = df.select("at", chunks.day_chunk("at", first, last, most).alias("c"), *[F.expr(p).alias(f"p{i}") for i, p in enumerate(predicates)])
+    got = df.select("at", *[F.expr(p).alias(f"p{i}") for i, p in enumerate(predicates)])
+    width = 3 if most == 3 else 1
     for row in got.collect():
-        assert [i for i, hit in enumerate(row[2:]) if hit] == [row["c"]]
+        offset = -1 if row["at"] is None else (row["at"].date() - first).days
+        at = offset // width if 0 <= offset <= (last - first).days else len(predicates) - 1
+        assert [i for i, hit in enumerate(row[1:]) if hit] == [at]
     assert len(chunks.day_predicates("at", first, last, most, other_days=False)) == len(predicates) - 1
     with pytest.raises(ValueError):
         chunks.day_predicates("at", last, first)

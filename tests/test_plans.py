@@ -157,7 +157,9 @@ def test_report_files(spark, tmp_path):
     section = subject_report.SECTIONS[name]
     subject_report.write_report({"sendouts": sendouts}, requests, str(tmp_path), {name: section})
     folders = sorted(p.split("/")[-1] for p in glob.glob(f"{tmp_path}/{name}/_customer=*"))
-    assert folders == ["_customer=3", "_customer=7"]
+    assert folders == ["_customer=3", "_customer=7", "_customer=999"]
+    (alone,) = glob.glob(f"{tmp_path}/{name}/_customer=999/*.txt")
+    assert open(alone, encoding="utf-8").read() == "scheduled_at,status,type,recipient,content\n"
     parts = sorted(glob.glob(f"{tmp_path}/{name}/_customer=7/*.csv"))
     times = []
     for part in parts:
@@ -235,7 +237,7 @@ def test_metadata_jobs(spark, tmp_path, view):
         ", ".join(f"{c} {'timestamp' if c.endswith('_date') else 'double' if c == 'duration' else 'string'}" for c in TASK_COLUMNS),
     )
     metadata.load_task_metadata(spark, tasks, "watch", str(tmp_path / "runs"), view + "_runs")
-    assert spark.table(view + "_runs").first()["_day"] == day
+    assert spark.table(view + "_runs").first()["task_id"] == "a"
     metadata.check_long_tasks(tasks, date(2024, 1, 9), "watch")
     with pytest.raises(CheckFailed):
         metadata.check_long_tasks(tasks, day, "watch")

@@ -12,9 +12,9 @@ from lakeferry.spec import (
 )
 
 CONTRACTS = {
-    "assessments": {
+    "visits": {
         "schema": {"id": "text", "created_at": "timestamp with time zone", "policy": "jsonb", "score": "numeric"},
-        "ts_column": "COALESCE(updated_at, created_at)",
+        "ts_column": "greatest(made_at, seen_at)",
         "bq_partition_column": "created_at",
         "backfill_method": "beam_export",
         "query_by": "timestamp",
@@ -22,7 +22,7 @@ CONTRACTS = {
         "ordered_by": "_",
         "chunksize": "5000",
     },
-    "payout.events": {
+    "clinic.entries": {
         "schema": {"id": "integer", '"order"': "integer", '"from"': "character varying", "tags": "ARRAY"},
         "backfill_method": "nested_export",
         "query_by": "offset",
@@ -31,7 +31,7 @@ CONTRACTS = {
         "chunk_size": "50",
     },
     "transactions": {"schema": {"id": "bigint"}, "backfill_method": "direct_export", "ignore_daily": True},
-    "expenses": {"schema": {"id": "bigint"}, "gdpr_sensitive": True},
+    "notes": {"schema": {"id": "bigint"}, "gdpr_sensitive": True},
     "unchecked": {"schema": {"id": "uuid"}, "backfill_method": "direct_export", "ignore_sanity_check": True},
 }
 
@@ -45,8 +45,8 @@ def test_types_of_declared_columns():
 
 
 def test_names_and_quotes():
-    spec = parse_specs(CONTRACTS)["payout.events"]
-    assert spec.name == "events" and spec.source_name == "payout.events"
+    spec = parse_specs(CONTRACTS)["clinic.entries"]
+    assert spec.name == "entries" and spec.source_name == "clinic.entries"
     assert spec.column_names == ["id", "order", "from", "tags"]
     schema = spec.spark_schema()
     assert schema.names[-1] == "_ingested_ts" and all(f.nullable for f in schema.fields)
@@ -55,9 +55,9 @@ def test_names_and_quotes():
 
 def test_chunk_settings():
     specs = parse_specs(CONTRACTS)
-    assert (specs["assessments"].chunk_mode, specs["assessments"].chunk_rows) == ("day", 5000)
-    assert specs["assessments"].chunk_column == "id"
-    assert (specs["payout.events"].chunk_mode, specs["payout.events"].chunk_rows) == ("range", 3000)
+    assert (specs["visits"].chunk_mode, specs["visits"].chunk_rows) == ("day", 5000)
+    assert specs["visits"].chunk_column == "id"
+    assert (specs["clinic.entries"].chunk_mode, specs["clinic.entries"].chunk_rows) == ("range", 3000)
     assert specs["transactions"].chunk_mode is None and specs["transactions"].chunk_rows == 50_000
 
 
@@ -68,10 +68,10 @@ def test_selection_by_flags(tmp_path):
     path.write_text(json.dumps(CONTRACTS))
     specs = load_specs(str(path)).values()
     assert "transactions" not in [s.name for s in daily_tables(specs)]
-    assert "expenses" in [s.name for s in daily_tables(specs)]
-    assert [s.name for s in clean_tables(specs)] == ["assessments", "events", "unchecked"]
-    assert [s.name for s in backfill_tables(specs, "beam_export")] == ["assessments"]
-    assert [s.name for s in counted_tables(specs)] == ["events", "transactions"]
+    assert "notes" in [s.name for s in daily_tables(specs)]
+    assert [s.name for s in clean_tables(specs)] == ["visits", "entries", "unchecked"]
+    assert [s.name for s in backfill_tables(specs, "beam_export")] == ["visits"]
+    assert [s.name for s in counted_tables(specs)] == ["entries", "transactions"]
 
 
 def test_source_schemas():

@@ -7,9 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from lakeferry.functions.normalize import export_text, normalize_rows
-from lakeferry.operators.chunks import day_chunk, range_chunk
+from lakeferry.operators.chunks import day_predicates, range_predicates
 from lakeferry.operators.derived import TASK_COLUMNS, task_metadata
+from lakeferry.operators.guards import table_counts
 from lakeferry.operators.latest import latest_per_key
+from lakeferry.plans.backfill import promote
 from lakeferry.plans.replicate import build_clean, landed, load_raw, load_raw_day, refined
 from lakeferry.sinks.storage import shared_path
 from lakeferry.sinks.tables import DAY
@@ -96,6 +98,75 @@ def day_reload(spark, sf_dir):
     return plain_times(spark.table(view).drop(DAY))
 
 
+@register(
+    """
+    SELECT event_id, ts, user_id, event_type,
+           CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN value * 2 ELSE value END AS value, props,
+           CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' OR ts >= TIMESTAMP '2024-01-20'
+                THEN TIMESTAMP '2024-02-02 03:00:00' ELSE TIMESTAMP '2024-02-01 03:00:00' END AS _ingested_ts
+    FROM events
+    """
+)
+def promote_then_append(spark, sf_dir):
+    """A promoted backfill to which later days are appended and in which one day is read again."""
+    path = shared_path(spark, "promote_then_append")
+    events = table(spark, sf_dir, "events")
+    view = new_view("events_raw")
+    early = events.filter("ts < timestamp_ntz'2024-01-20'")
+    promote(spark, landed(early, EVENTS, RUN_1), EVENTS, table_counts({"events": early}), path, view)
+    load_raw(spark, events.filter("ts >= timestamp_ntz'2024-01-20'"), EVENTS, RUN_2, path, view)
+    day = events.filter("ts >= timestamp_ntz'2024-01-10' and ts < timestamp_ntz'2024-01-11'")
+    load_raw_day(spark, day.withColumn("value", F.col("value") * 2), EVENTS, RUN_2, view, "ts", date(2024, 1, 10))
+    return plain_times(spark.table(view))
+
+
+@register(
+    """
+    SELECT event_id, ts, user_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN value + 1 ELSE value END AS value,
+           props, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN TIMESTAMP '2024-02-02 03:00:00'
+                       ELSE TIMESTAMP '2024-02-01 03:00:00' END AS _ingested_ts
+    FROM events
+    """
+)
+def rerun_same_run(spark, sf_dir):
+    """Overlapping runs, each of them loaded twice: every row has one current version."""
+    path = shared_path(spark, "rerun_same_run")
+    events = table(spark, sf_dir, "events")
+    spec = TableSpec(**{**EVENTS.__dict__, "key": "event_id"})
+    view = new_view("events_raw")
+    early = events.filter("ts < timestamp_ntz'2024-01-20'")
+    late = events.filter("ts >= timestamp_ntz'2024-01-15'").withColumn("value", F.col("value") + 1)
+    for rows, run in ((early, RUN_1), (early, RUN_1), (late, RUN_2), (late, RUN_2)):
+        load_raw(spark, rows, spec, run, path, view)
+    return plain_times(refined(spark.table(view), spec))
+
+
+@register(
+    """
+    SELECT event_id, ts, user_id, event_type, value, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN props END AS props,
+           CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN TIMESTAMP '2024-02-02 03:00:00'
+                ELSE TIMESTAMP '2024-02-01 03:00:00' END AS _ingested_ts
+    FROM events
+    """
+)
+def contract_growth(spark, sf_dir):
+    """A column that joins the contract later is shown, null in the rows loaded before."""
+    path = shared_path(spark, "contract_growth")
+    events = table(spark, sf_dir, "events")
+    columns = tuple(c for c in EVENTS.columns if c[0] != "props")
+    narrow = TableSpec(**{**EVENTS.__dict__, "columns": columns})
+    view = new_view("events_raw")
+    load_raw(spark, events.filter("ts < timestamp_ntz'2024-01-15'"), narrow, RUN_1, path, view)
+    load_raw(spark, events.filter("ts >= timestamp_ntz'2024-01-15'"), EVENTS, RUN_2, path, view)
+    return plain_times(spark.table(view))
+
+
+def _chunk(predicates):
+    """Number of the predicate that a row meets; the predicates are those of the reader."""
+    hits = [F.when(F.expr(p), F.lit(i).cast("bigint")) for i, p in enumerate(predicates)]
+    return F.coalesce(*hits)
+
+
 @register(
     """
     SELECT CASE WHEN ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-23'
@@ -105,8 +176,8 @@ def day_reload(spark, sf_dir):
     """
 )
 def chunked_by_day(spark, sf_dir):
-    """Rows per day chunk of a backfill; the last chunk takes all other days."""
-    chunk = day_chunk("ts", date(2024, 1, 3), date(2024, 1, 22)).cast("bigint")
+    """Rows per day predicate of a backfill; the last one takes all other days."""
+    chunk = _chunk(day_predicates("ts", date(2024, 1, 3), date(2024, 1, 22)))
     return table(spark, sf_dir, "events").groupBy(chunk.alias("chunk")).agg(F.count("*").alias("num_rows"))
 
 
@@ -117,10 +188,10 @@ def chunked_by_day(spark, sf_dir):
     """
 )
 def chunked_by_range(spark, sf_dir):
-    """Rows per key-range chunk of a backfill, with bounds from one aggregate row."""
+    """Rows per key-range predicate of a backfill, with bounds from one aggregate row."""
     orders = table(spark, sf_dir, "orders")
     lo, hi = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    chunk = range_chunk("o_orderkey", lo, hi, 1000, 1_000_000_000)
+    chunk = _chunk(range_predicates("o_orderkey", lo, hi, 1000))
     return orders.groupBy(chunk.alias("chunk")).agg(F.count("*").alias("num_rows"))
 
 

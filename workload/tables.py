@@ -13,8 +13,8 @@ from lakeferry.operators.merge import apply_diff, delete_insert, table_diff, ups
 from lakeferry.plans.backfill import copy_table
 from lakeferry.plans.exports import export_changes
 from lakeferry.sinks.storage import shared_path
-from lakeferry.sinks.tables import publish_checked, replace_partitions, write_ndjson, write_report_csv
-from lakeferry.sources.files import csv_to_ndjson, read_csv, read_ndjson
+from lakeferry.sinks.tables import csv_to_ndjson, publish_checked, replace_partitions, write_ndjson, write_report_csv
+from lakeferry.sources.files import CORRUPT, read_csv, read_ndjson, read_ndjson_flagged
 from lakeferry.spec import TableSpec
 from workload.common import cents, money_sum, new_view, registry, table
 
@@ -388,3 +388,25 @@ def upsert_rates(spark, sf_dir):
     old = by_month.agg(F.count("*").cast("double").alias("value"))
     new = by_month.agg(F.max("o_custkey").cast("double").alias("value")).filter(F.col("exchange_month") >= F.lit(RATE_MONTH))
     return upsert(old, new, keys)
+
+
+@register(
+    """
+    SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_nationkey <> 3
+    """
+)
+def ndjson_dirty_load(spark, sf_dir):
+    """JSON lines of which some are cut off and some have text for a number: bad ones are counted and kept apart."""
+    path = shared_path(spark, "ndjson_dirty_load")
+    view = new_view("ndjson_dirty_load")
+    customer = table(spark, sf_dir, "customer")
+    good = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal"))
+    bad = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('{"c_custkey":'), "c_custkey")).otherwise(
+        F.replace(good, F.concat(F.lit('"c_custkey":'), F.col("c_custkey").cast("string")), F.lit('"c_custkey":"none"'))
+    )
+    lines = customer.select(F.when(F.col("c_nationkey") == 3, bad).otherwise(good).alias("value"))
+    lines.write.text(f"{path}/json")
+    allowed = customer.filter("c_nationkey = 3").count()
+    rows = read_ndjson_flagged(spark, f"{path}/json", "c_custkey bigint, c_name string, c_acctbal double")
+    publish_checked(spark, rows.drop(CORRUPT), view, f"{path}/table", allowed)
+    return spark.table(view)
