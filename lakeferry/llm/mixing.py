@@ -67,7 +67,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Log
     domain = F.when(F.max("toxic") == 1, 2.0).when(F.min("quality") == 0, 1.0).when(F.min("quality").isNotNull(), 0.0)
     chosen = labels.where("doc_id is not null").groupBy("doc_id").agg(domain.alias("label")).where("label is not null")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    known = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     terms = features(known).join(F.broadcast(chosen), "doc_id").select("label", "terms")
     fit = landed(terms.repartition(16), "domain-fit")
     if fit.select("label").distinct().count() < 2:
@@ -148,5 +148,5 @@ def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
     drawn = drawn.withColumn("copies", copies).where("copies > 0")
     drawn = drawn.groupBy(F.col("doc_id").alias("drawn_id"), F.col("text_key").alias("drawn_key")).agg(F.max("copies").alias("mix_copies"))
     same = docs["doc_id"].eqNullSafe(drawn["drawn_id"]) & (fold(docs["text"]) == drawn["drawn_key"])
-    kept = docs.join(drawn, same).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    return kept.select(*[docs[c] for c in docs.columns])
+    copies = F.explode(F.sequence(F.lit(1), drawn["mix_copies"])).alias("__copy")
+    return docs.join(drawn, same).select(*[docs[c] for c in docs.columns], copies).drop("__copy")

@@ -138,6 +138,7 @@ def wrappers(pages: DataFrame) -> tuple[DataFrame, bool]:
 
     All pages of a host are aligned with its model page; only counts by element leave the tasks, summed up there first.
     """
+    pages = pages.select("page_id", "url", "html")
     chosen = _models(pages)
     texts = pages.join(chosen, (pages["page_id"] == chosen["model_id"]) & (host(pages["url"]) == chosen["host"]))
     models = landed(texts.groupBy("host").agg(F.min("html").alias("model_html")), "models")

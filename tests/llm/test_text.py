@@ -1,0 +1,470 @@
+"""Decontamination, quality rules, language and quality models, licences, mixing, tokens and pages."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers import SCHEMA, clashing, lower, part, prose, sample, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lakeferry.llm import compression, dom, language, licenses, mixing, simple8b, suffixes, supervision, tokens, wrapper
+
+
+def frame(spark, rows):
+    return clashing(spark.createDataFrame(rows, SCHEMA)).repartition(3)
+
+
+# decontamination
+
+
+def item_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
+
+
+def items_of(rows):
+    rng = random.Random(9)
+    long = max((r[1] or "" for r in rows), key=len)
+    own = item_words(long)
+    return [
+        (1, " ".join(own[10:45])),
+        (2, " ".join(own[30:40]) + " " + " ".join(prose(rng, 15))),
+        (10, " ".join(own[100:109])),
+        (11, "Changed"),
+        (12, ""),
+        (13, None),
+        (None, " ".join(own[0:20])),
+        (14, "not in any document at all , really not"),
+        (1, " ".join(own[10:45])),
+    ]
+
+
+def brute_contamination(rows, items):
+    windows = {}
+    for item_id, text in items:
+        w = item_words(text)
+        if w and item_id is not None:
+            n = min(10, len(w))
+            for i in range(len(w) - n + 1):
+                windows.setdefault(tuple(w[i : i + n]), set()).add(item_id)
+    sizes = {len(k) for k in windows}
+    out = []
+    for doc_id, text, *_ in rows:
+        w, hit, found = item_words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                ids = windows.get(tuple(w[i : i + n]))
+                if ids:
+                    hit.update(range(i, i + n))
+                    found |= ids
+        out.append((doc_id, len(w), len(hit), sorted(map(str, found)), bool(hit)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block_bytes, shard_bytes", [(1 << 20, 1 << 20), (60, 200)])
+def test_contamination(spark, monkeypatch, block_bytes, shard_bytes):
+    rows = sample()
+    items = items_of(rows)
+    spans = suffixes.benchmark_spans
+    monkeypatch.setattr(suffixes, "benchmark_spans", lambda d, i, w: spans(d, i, w, shard_bytes, block_bytes))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = suffixes.contamination(frame(spark, rows), bench)
+    columns = ("doc_id", "n_words", "n_hit", "item_ids", "contaminated")
+    got = sorted((tuple(r[c] for c in columns) for r in found.collect()), key=str)
+    want = brute_contamination(rows, items)
+    assert got == want and 3 < sum(r[-1] for r in want) < len(rows)
+
+
+def test_decontaminated(spark):
+    rows = sample()
+    items = items_of(rows)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, rows)
+    clean = suffixes.decontaminated(docs, bench)
+    want = sorted(str(r[0]) for r in brute_contamination(rows, items) if not r[-1])
+    assert sorted(str(r["doc_id"]) for r in clean.collect()) == want and clean.columns == docs.columns
+    assert suffixes.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
+    assert suffixes.contamination(docs.limit(0), bench).count() == 0
+    longest = suffixes.benchmark_spans(docs, bench.where("item_id = 1")).selectExpr("max(aggregate(spans, 0L, (m, x) -> greatest(m, x.length)))")
+    assert longest.first()[0] == 35
+
+
+# quality rules
+
+
+def test_counts_of_texts(spark):
+    for doc_id, text, *_ in sample():
+        w = words(text)
+        windows = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        again = {k for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for k in range(i, i + 5)}
+        seen, copies = set(), 0
+        for line in (text or "").split("\n"):
+            if words(line):
+                copies += line in seen
+                seen.add(line)
+        want = (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), copies, len(again))
+        assert supervision.text_counts((text or "").encode())[:5] == want
+
+
+def test_long_texts_count_alike(monkeypatch):
+    rng = random.Random(2)
+    own = [w.encode() for w in prose(rng, 3000, ["a", "b", "c", "d", "e", "f", "g"])]
+    short = supervision.repeated_words(own)
+    monkeypatch.setattr(supervision, "_MANY_WORDS", 10)
+    assert supervision.repeated_words(own) == short > 0
+
+
+def test_rules_find_junk(spark):
+    rng = random.Random(4)
+    good = [(i, ". ".join(" ".join(prose(rng, 12)) for _ in range(12)) + ".", "en", "s", 0) for i in range(200)]
+    symbols = [(1000 + i, " ".join(w + "###" for w in prose(rng, 80)) + ".", "en", "s", 0) for i in range(15)]
+    shouts = [(2000 + i, " ".join(w.upper() + "!!" for w in prose(rng, 80)), "en", "s", 0) for i in range(15)]
+    odd = [(3000, None, None, None, None), (3001, "", None, None, 0), (3002, "too short", None, None, 0), (3003, "a b c d e f " * 30, None, None, 0)]
+    got = {r["doc_id"]: r for r in supervision.judged(frame(spark, good + symbols + shouts + odd)).collect()}
+    assert all(r["kept"] for k, r in got.items() if k < 1000)
+    assert not any(r["kept"] for k, r in got.items() if k >= 1000)
+    assert [got[3000 + i]["base_failed"] for i in range(4)] == [True] * 4
+    assert not any(got[1000 + i]["base_failed"] for i in range(15))
+    assert supervision.judged(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_estimation_learns_rates():
+    rng = np.random.default_rng(0)
+    good = rng.random(20_000) < 0.8
+    rates = np.where(good[:, None], 0.002, [[0.4, 0.5, 0.3]])
+    votes = np.where(rng.random((20_000, 3)) < rates, -1, 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = supervision.estimate(patterns, counts.astype(float))
+    fired = (patterns < 0).any(1)
+    assert (model.good(patterns)[fired] < 0.5).all() and (model.good(patterns)[~fired] > 0.5).all()
+    assert np.isclose(model.good(patterns), 1 / (1 + np.exp(-_log_odds(model, patterns)))).all()
+
+
+def _log_odds(model, patterns):
+    total = np.full(len(patterns), math.log(model.share / (1 - model.share)))
+    for k in range(patterns.shape[1]):
+        at = patterns[:, k] + 1
+        total += np.log(model.rates[1, k, at]) - np.log(model.rates[0, k, at])
+    return total
+
+
+# language
+
+
+def brute_bits(texts, text, order=language.ORDER):
+    fold = lambda t: t.translate(language._FOLD)
+    out = []
+    for lang in sorted(texts):
+        counts = [Counter() for _ in range(order + 1)]
+        for x in texts[lang]:
+            x = fold(x)
+            for k in range(order + 1):
+                counts[k].update(x[i : i + k + 1] for i in range(len(x) - k))
+        bits, own = 0.0, fold(text)
+        for i in range(len(own)):
+            k = min(order, i)
+            while k >= 0:
+                context = own[i - k : i]
+                after = {g: n for g, n in counts[k].items() if g[:-1] == context}
+                total, kinds = sum(after.values()), len(after)
+                if own[i - k : i + 1] in after:
+                    bits += math.log2((total + kinds) / after[own[i - k : i + 1]])
+                    break
+                bits += math.log2((total + kinds) / kinds) if kinds else 0
+                k -= 1
+            else:
+                bits += 8
+        out.append(bits)
+    return out
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text("abü 1\n", max_size=12), min_size=1, max_size=5))
+def test_code_lengths_are_exact(texts):
+    learned = {"x": [b"abba aba", "üb ab".encode()], "y": ["ba 1 ü ü".encode()]}
+    model = language.train(learned)
+    got = model.bits([t.encode() for t in texts])
+    for row, text in zip(got, texts, strict=True):
+        assert np.allclose(row, brute_bits(learned, text.encode()), rtol=1e-4, atol=1e-3)
+
+
+def speech(rng, lang, n):
+    parts = {"aa": ["ka", "lo", "mi", "ta"], "bb": ["sch", "ver", "ung", "ein"], "cc": ["eau", "ré", "tion", "que"]}[lang]
+    return " ".join("".join(rng.choices(parts, k=3)) for _ in range(n))
+
+
+def test_languages(spark):
+    rng = random.Random(1)
+    rows = [(i, speech(rng, lang, 30), lang if part(i, 3) != 1 else "wrong", "s", 0) for i, lang in enumerate(["aa", "bb", "cc"] * 60)]
+    rows += [(1000, None, "aa", "s", 0), (1001, "12 34 !", "aa", "s", 0), (1002, "", None, "s", 0), (None, speech(rng, "bb", 9), "aa", "s", 0)]
+    got = language.identified(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r["doc_id"] is None:
+            assert r["held_out"] and r["lang_pred"] == "bb"
+        elif r["doc_id"] >= 1000:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        else:
+            assert r["lang_pred"] == ["aa", "bb", "cc"][r["doc_id"] % 3] and 0.5 < r["score"] <= 1
+            assert r["held_out"] == (part(r["doc_id"], 3) == 1)
+    nothing = language.identified(frame(spark, [(1, "text", None, "s", 0)])).first()
+    assert (nothing["lang_pred"], nothing["score"]) == ("und", 0.0)
+    assert language.identified(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+# quality model
+
+
+def test_quality_classifier(spark):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 4 == 0
+        own = prose(rng, rng.choice([20, 80, 200]))
+        rows.append((i, " ".join(w + "%%%" for w in own) if bad else " ".join(own), "en", "s", 0))
+        labels.append((i, 0 if bad else 1, 0))
+    rows += [(1000, None, None, None, None), (1001, "", None, None, 0), (None, "x", None, None, 0), rows[1]]
+    labels += [(None, 1, 0), (5, None, 0), (7, 1, 0), (99999, 0, 0)]
+    docs, table = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = compression.scored(docs, table).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 300 and r["held_out"]]
+    assert all(r["held_out"] == (part(r["doc_id"], 5) == 0) for r in got if r["doc_id"] is not None)
+    assert sum(r["predicted"] == (r["doc_id"] % 4 != 0) for r in held) >= 0.95 * len(held)
+    kept = compression.accepted(docs, table)
+    assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in got)
+    # labels of the held-out part are never learned from
+    flipped = table.selectExpr("doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 then 1 - quality else quality end as quality", "toxic")
+    again = {r["doc_id"]: r["score"] for r in compression.scored(docs, flipped).collect()}
+    assert again == {r["doc_id"]: r["score"] for r in got}
+
+
+@pytest.mark.parametrize("labels, score", [([], 0.5), ([(1, 1, 0), (2, 1, 0)], 1.0), ([(1, 0, 0), (2, 0, 0)], 0.0)])
+def test_quality_without_both_labels(spark, labels, score):
+    docs = spark.createDataFrame([(1, "a", None, None, 1), (2, "b", None, None, 1)], SCHEMA)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in compression.scored(docs, table).collect()} == {score}
+    assert compression.scored(docs.limit(0), table).count() == 0
+
+
+# licences
+
+
+NOTICES = {
+    "Released under the MIT License.": "mit",
+    "Licensed under the Apache License, Version 2.0.": "apache",
+    "This work is licensed under the GNU General Public License, version 3.": "gpl",
+    "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+    "All rights reserved.": "proprietary",
+    "LICENSED UNDER THE BSD LICENSE": "bsd",
+}
+
+
+def test_notices(spark):
+    rng = random.Random(8)
+    rows, want = [], []
+    for i in range(80):
+        lines = [" ".join(prose(rng, 20)) for _ in range(4)]
+        if i % 4 == 0:
+            notice = [*NOTICES][i // 4 % len(NOTICES)]
+            lines.insert(i % 3, notice)
+            want.append((i, i % 3, NOTICES[notice]))
+        rows.append((i, "\n".join(lines), "en", "s", 0))
+    for k, text in enumerate(["The driving license was renewed.", "Human rights matter; a seat was reserved.", "the public version of the work", "the General said: free license for all", ""]):
+        rows.append((500 + k, text, "en", "s", 0))
+    rows.append((600, None, None, None, None))
+    got = licenses.license_notices(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["paragraph"], r["family"]) for r in got) == want
+    assert all(r["probability"] >= 0.5 and r["containment"] >= 0.6 for r in got)
+    assert licenses.license_notices(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+# mixing
+
+
+def brute_rates(members, targets, most=1.0):
+    """Projected gradient on the same objective until it no longer moves."""
+    n = np.array([m[0] for m in members], float)
+    p = np.array([m[1] for m in members])
+    natural = n @ p
+    weight = np.array([targets[d] for d in mixing.DOMAINS])
+    target, scale = natural[0] / weight[0] * weight, np.where(natural > 0, natural, 1)
+    overlap = (p * n[:, None]).T @ p / np.sqrt(np.outer(scale, scale))
+    rate = np.full(len(n), min(1.0, most))
+    for _ in range(20_000):
+        rate = np.clip(rate - p @ (((n * rate) @ p - target) / scale) / np.linalg.eigvalsh(overlap)[-1], 0, most)
+    return rate, (n * rate) @ p, target
+
+
+def test_rates_meet_targets(spark):
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([2, 0.5, 0.5], 300)
+    n = rng.integers(0, 900, 300)
+    rows = [(i, i, int(n[i]), p[i].tolist()) for i in range(300)] + [(None, 1, 0, [1.0, 0.0, 0.0])]
+    members = spark.createDataFrame(rows, "doc_id long, text_key long, n_tokens long, p array<double>")
+    targets = {"clean": 0.8, "low": 0.12, "toxic": 0.08}
+    got = mixing.fitted_rates(members, targets, 2.0).collect()
+    assert len(got) == 301 and all(0 <= r["rate"] <= 2 for r in got)
+    reached = np.sum([r["rate"] * r["n_tokens"] * np.array(r["p"]) for r in got], axis=0)
+    _, best, target = brute_rates([(r[2], r[3]) for r in rows], targets, 2.0)
+    assert np.abs(reached - best).max() <= 0.02 * target.sum()
+    assert mixing.fitted_rates(members.limit(0), targets).count() == 0
+
+
+def test_mixing_keeps_clean_documents(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(240):
+        kind = i % 4
+        own = prose(rng, 60)
+        if kind == 3:
+            own[::9] = ["vileword"] * len(own[::9])
+        rows.append((i, " ".join(w + "&&&" if kind == 2 else w for w in own), "en", "s", 0))
+        labels.append((i, 0 if kind == 2 else 1, 1 if kind == 3 else 0))
+    rows += [(1000, None, None, None, None), (None, "", None, None, 0), rows[0]]
+    docs, table = frame(spark, rows), spark.createDataFrame(labels + [(None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
+    got = mixing.mixed(docs, table).collect()
+    assert len(got) == len(rows)
+    rate = {r["doc_id"]: r["rate"] for r in got}
+    assert all(rate[i] > 1 - 1e-9 for i in range(240) if i % 4 < 2)
+    assert sum(rate[i] for i in range(3, 240, 4)) < 10
+    kept = mixing.sampled(docs, table)
+    ids = Counter(r["doc_id"] for r in kept.collect())
+    assert kept.columns == docs.columns and ids[0] == 2 and all(ids[i] == 1 for i in range(1, 240) if i % 4 < 2)
+    assert sum(ids[i] for i in range(3, 240, 4)) < 12
+    assert mixing.sampled(docs, table.limit(0)).count() == len(rows)
+    assert mixing.mixed(docs.limit(0), table).count() == 0
+
+
+# tokens
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 2**16), st.integers(0, 2**64 - 1)), max_size=300), st.sampled_from([7, 64, 1024]))
+def test_packing_roundtrip(values, block):
+    array = np.array(values, np.uint64)
+    packed = simple8b.pack(array, block)
+    assert (simple8b.unpack(*packed, len(array), block) == array).all()
+    # any block can be decoded alone
+    words_, offsets, escapes = packed
+    for k in range(len(offsets)):
+        end = offsets[k + 1] if k + 1 < len(offsets) else len(words_)
+        own = array[k * block : (k + 1) * block]
+        alone = simple8b.unpack(words_[offsets[k] : end], np.zeros(1, np.uint32), escapes, len(own), block)
+        assert (alone == own).all()
+
+
+def test_token_files(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rows = sample() + [(5000, "<|startoftext|> <|STARTOFTEXT|> don't, Straße... ΣΑΣ, é., x.,", None, None, 0)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    path = str(tmp_path / "t")
+    docs = frame(spark, rows)
+    tokens.write_tokens(docs, path, segment_ids=500)
+    ids = {r[1]: [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1] for r in rows}
+    got = tokens.read_tokens(spark, path).collect()
+    want = sorted((str(r[0]), len(ids[r[1]]), zlib.crc32(np.array(ids[r[1]], "<u4").tobytes())) for r in rows)
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    by_start = sorted(got, key=lambda r: r["start"])
+    assert [r["start"] for r in by_start] == np.cumsum([0, *[r["n_tokens"] for r in by_start]])[:-1].tolist()
+    order = [-1 if r["doc_id"] is None else r["doc_id"] for r in by_start]
+    assert order == sorted(order)
+    back = sorted((str(r["doc_id"]), r["ids"]) for r in tokens.read_ids(spark, path).collect())
+    assert back == sorted((str(r[0]), ids[r[1]]) for r in rows)
+    assert spark.read.parquet(path).count() > 5
+    tokens.write_tokens(docs.limit(0), str(tmp_path / "none"))
+    assert tokens.read_tokens(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_forgetful_encoder_gives_the_same_ids(monkeypatch):
+    texts = [(r[1] or "").encode() for r in sample()]
+    whole = tokens.WordEncoder(tokens.TOKENIZER).encode(texts)
+    monkeypatch.setattr(tokens, "REMEMBERED_WORDS", 5)
+    small = tokens.WordEncoder(tokens.TOKENIZER)
+    assert all((a == b).all() for a, b in zip(whole, small.encode(texts), strict=True)) and len(small.known) == 5
+
+
+# pages
+
+
+PAGE = (
+    '<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><nav><a href="/">Home</a></nav>'
+    '<div class="ad">Buy</div><article><h1>Title {n}</h1><p><b>First &amp; b<i>o</i>ld{n}<br><p>second   one</p>'
+    '<aside>also read</aside><div class="comments"><p>me too</p></div></article><footer>&copy; us</footer>'
+)
+PLAIN = (
+    '<html><body><div class="top">The Site</div><div id="wrap"><h2>News {n}</h2><p>Some text {n} here.</p>'
+    "<ul><li>Contact us</li></ul></div><div>Imprint</div><script>if (a<b) {{}}</script></body></html>"
+)
+
+
+def test_main_text(spark):
+    rows = [(i, f"https://a.example/{i}", PAGE.format(n=i)) for i in range(4)]
+    rows += [(10 + i, f"http://B.example/{i}", PLAIN.format(n="x" * (i + 1))) for i in range(6)]
+    rows += [(20, None, None), (21, "http://c.example/", ""), (22, "nonsense", "plain <p>te&#120;t"), (None, "https://a.example/z", PAGE.format(n=9)), rows[0]]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as text", "'y' as host", "1 as constant")
+    got = wrapper.extracted(df).collect()
+    assert len(got) == len(rows)
+    text = {r["page_id"]: r["text"] for r in got}
+    assert all(text[i] == f"Title {i} First & bold{i} second one" for i in range(4)) and text[None].startswith("Title 9")
+    assert all(text[10 + i] == f"News {'x' * (i + 1)} Some text {'x' * (i + 1)} here." for i in range(6))
+    assert (text[20], text[21], text[22]) == ("", "", "plain text")
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    assert wrapper.extracted(df.limit(0)).count() == 0
+
+
+def test_joined_models_give_the_same(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 3}.example/{i}", PLAIN.format(n="w " * (i + 1))) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sent = sorted(map(tuple, wrapper.extracted(df).collect()))
+    monkeypatch.setattr(wrapper, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, wrapper.extracted(df).collect())) == sent
+
+
+def tree_weight(a, b, x=0, y=0):
+    """Simple tree matching, straight from its definition."""
+    if a.labels[x] != b.labels[y]:
+        return 0
+    left, right = a.children[x], b.children[y]
+    best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for i, c in enumerate(left):
+        for j, d in enumerate(right):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + tree_weight(a, b, c, d))
+    return 1 + best[-1][-1]
+
+
+def random_page(rng, depth=0):
+    tags = ["div", "p", "ul", "span"]
+    return "".join(
+        f"<{t}>{random_page(rng, depth + 1) if depth < 3 else 'x'}</{t}>" for t in rng.choices(tags, k=rng.randrange(0, 4))
+    )
+
+
+def test_alignment_is_best():
+    rng = random.Random(3)
+    for _ in range(60):
+        a, b = dom.parse(random_page(rng)), dom.parse(random_page(rng))
+        pairs = dom.align(a, b)
+        assert len(pairs) == tree_weight(a, b) and len({x for x, _ in pairs}) == len(pairs)
+        where = dict(pairs)
+        assert all(a.labels[x] == b.labels[y] for x, y in pairs)
+        assert all(x == 0 or where[a.parents[x]] == b.parents[y] for x, y in pairs)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text("<>/abp \"'=!-&;#1\n", max_size=80))
+def test_any_markup_is_read(html):
+    wrapper.main_text(html, html, frozenset())
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 5000 + "end"
+    assert wrapper.main_text(deep, deep, frozenset()) == "end"
+    long = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
+    assert len(wrapper.main_text(long, PLAIN, frozenset()).split()) == 60_000
