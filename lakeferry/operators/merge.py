@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,22 +57,28 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     """Rows that were inserted, updated or deleted between two states of a table.
 
     Returns ``change`` and the columns of ``new`` (of ``old`` for deleted rows).
-    Values are compared null-safe. Both states go through one shuffle on the key,
-    and a key that occurs twice in one state fails the job.
+    Values are compared null-safe. Both states go through one shuffle on the key and
+    are sorted once, after it: at most two rows have a key, so nothing could be folded
+    before. A key that occurs twice in one state fails the job.
     """
     columns = new.columns
     values = [c for c in columns if c not in keys]
     row = F.struct(F.lit(0).alias("__some"), *values).alias("__row")
+    same_key = Window.partitionBy(*keys)
+    is_old = F.col("__is_old")
     sides = (
         old.select(*keys, row, F.lit(True).alias("__is_old"))
         .unionByName(new.select(*keys, row, F.lit(False).alias("__is_old")))
-        .groupBy(*keys)
-        .agg(
-            F.count_if("__is_old").alias("__n_old"),
-            F.count_if(~F.col("__is_old")).alias("__n_new"),
-            F.max(F.when(F.col("__is_old"), F.col("__row"))).alias("__old"),
-            F.max(F.when(~F.col("__is_old"), F.col("__row"))).alias("__new"),
+        .withColumns(
+            {
+                "__n_old": F.count_if(is_old).over(same_key),
+                "__n_new": F.count_if(~is_old).over(same_key),
+                "__old": F.max(F.when(is_old, F.col("__row"))).over(same_key),
+                "__new": F.when(~is_old, F.col("__row")),
+            }
         )
+        # one row stands for the key: the new one, or the old one of a deleted key
+        .filter(~is_old | (F.col("__n_new") == 0))
     )
     change = (
         F.when(

@@ -100,6 +100,27 @@ def index_values(
     return found
 
 
+# What a page gave for the day it was fetched on.
+FOUND, NOT_FOUND, CLOSED = "found", "not found", "not a banking day"
+
+
+def index_outcomes(
+    pages: DataFrame, fetch_day: date | Column, html: str = "html", title: str = INDEX_TITLE, table_class: str = INDEX_TABLE_CLASS
+) -> DataFrame:
+    """One row per page: day, value and outcome, so that a page without a value is told from a weekend."""
+    day = fetch_day if isinstance(fetch_day, Column) else F.lit(fetch_day)
+    rows = inner_parts(first_table(F.col(html), table_class), "tr")
+    head, rate = row_cells(F.get(rows, F.lit(0))), row_cells(F.get(rows, F.lit(3)))
+    shown = F.try_to_timestamp(F.get(head, F.lit(0)), F.lit("M/d/yyyy")).cast("date")
+    number = F.substring_index(F.get(rate, F.lit(1)), " ", 1).try_cast("decimal(18,6)")
+    fits = (F.get(rate, F.lit(0)) == title) & (shown == day)
+    value = F.when(is_weekday(day) & F.coalesce(fits, F.lit(False)), number)
+    outcome = F.when(~is_weekday(day), CLOSED).when(value.isNull(), NOT_FOUND).otherwise(FOUND)
+    return pages.select(
+        *[c for c in pages.columns if c != html], day.alias("day"), value.alias("value"), outcome.alias("outcome")
+    )
+
+
 def is_weekday(day: Column) -> Column:
     return ~F.dayofweek(day).isin(1, 7)
 

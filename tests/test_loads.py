@@ -212,3 +212,21 @@ def test_times_without_a_zone_are_utc(spark, new_york, tmp_path, view):
     (tmp_path / "in.csv").write_text("2024-01-01 00:00:00\nnever\n")
     read = files.read_csv(spark, str(tmp_path / "in.csv"), T.StructType().add("at", "timestamp"))
     assert [(r[0], r["_bad_row"]) for r in read.select(F.unix_seconds("at"), "_bad_row").collect()] == [(1704067200, False), (None, True)]
+
+
+def test_outcome_of_the_index_fetch(spark):
+    from lakeferry.operators.rates import CLOSED, FOUND, INDEX_TITLE, index_outcomes
+    from lakeferry.plans.rates import require_index
+
+    def page(title, day="3/5/2024", quote="'"):
+        cells = "".join(f"<tr><td>{t}</td><td>{v}</td></tr>" for t, v in (("a", 1), ("b", 2), (title, "3&#46;5 &#x25;")))
+        return f"<table id=x class={quote}table table-striped{quote}><tr><th>{day}</th></tr>{cells}</table>"
+
+    tuesday, saturday = date(2024, 3, 5), date(2024, 3, 2)
+    pages = spark.createDataFrame([(page(INDEX_TITLE),)], "html string")
+    got = index_outcomes(pages, tuesday).first()
+    assert (float(got["value"]), got["outcome"]) == (3.5, FOUND) and require_index(pages, tuesday) == FOUND
+    assert require_index(pages, saturday) == CLOSED
+    for bad in (page("renamed"), page(INDEX_TITLE, "3/4/2024"), "<p>none</p>", None):
+        with pytest.raises(CheckFailed, match="no index value"):
+            require_index(spark.createDataFrame([(bad,)], "html string"), tuesday)

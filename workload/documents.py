@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lakeferry.functions.html import inner_parts, row_cells
 from lakeferry.functions.json_documents import (
-    POLICY_VALUES,
+    POLICY_DOCUMENTS,
+    POLICY_FIELDS,
     JsonField,
     lenient_timestamp,
     project_json,
@@ -24,6 +25,7 @@ from lakeferry.operators.marketing import (
 )
 from lakeferry.operators.rates import (
     index_message,
+    index_outcomes,
     index_values,
     monthly_rates,
     response_faults,
@@ -101,11 +103,31 @@ def _policies(orders):
     return orders.select("o_orderkey", document.alias("main_policy"))
 
 
+# JSON texts of the documents that the orders have; the other documents of the policy are null.
+_KNOWN_DOCUMENTS = {
+    "rdm": """'{"state":"' || o_orderstatus || '"}'""",
+    "request_schema": """'"text"'""",
+    "request": """'{"loanBalance":' || price || '}'""",
+    "limit": """CASE WHEN o_orderstatus = 'F' THEN '{"limit":' || price || ',"limit_source":"model"}'
+        ELSE '{"customer_type":"' || o_orderpriority || '","suggested_limit":' || (price + 1) || '}' END""",
+    "pricing": """'{"new":{"monthlyPayment":' || price || '},"old":{"monthlyPayment":"' || o_orderpriority || '"}}'""",
+    "customer": """'{"returning":' || CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END || '}'""",
+    "uc_lookup": """'{"_ts":"' || CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
+        ELSE strftime(o_orderdate, '%a, %d %b %Y %H:%M:%S GMT') END || '","credit_history":[{"credit_used_account":' || o_custkey
+        || ',"credit_used_blanco":' || price || ',"credit_used_instalment":"n/a"}]}'""",
+    "response": """'{"reasons":["' || o_orderstatus || '","' || o_orderpriority || '"]}'""",
+    "internal_lookup": """'{"_id":' || o_orderkey || ',"customer_provided_income_gross":"12 kSEK","exposure":' || price || '}'""",
+    "sc_lookup": """'{"_id":"' || o_orderpriority || '"}'""",
+}
+_DOCUMENT_TEXTS = ", ".join(
+    f"{_KNOWN_DOCUMENTS.get(name, 'CAST(NULL AS VARCHAR)')} AS {name}" for name in POLICY_DOCUMENTS
+)
+
+
 @register(
-    """
+    f"""
     WITH o AS (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS price FROM orders)
-    SELECT o_orderkey, '{"state":"' || o_orderstatus || '"}' AS rdm, '"text"' AS request_schema,
-           '{"loanBalance":' || price || '}' AS request, CAST(NULL AS VARCHAR) AS capacity,
+    SELECT o_orderkey, {_DOCUMENT_TEXTS},
            CAST(price AS DOUBLE) AS exposure, CAST(price AS DOUBLE) AS loan_balance, o_orderstatus = 'F' AS is_returning,
            price AS uc_credit_used_blanco, o_custkey AS uc_credit_used_account,
            CAST(NULL AS BIGINT) AS uc_credit_used_instalment, o_orderdate AS uc_created_at,
@@ -121,11 +143,9 @@ def _policies(orders):
     """
 )
 def policy_projection(spark, sf_dir):
-    """Typed policy columns and documents out of one JSON text per order."""
-    documents = [JsonField(n, (f"$.data.{k}",)) for n, k in
-                 (("rdm", "Rdm"), ("request_schema", "Request"), ("request", "request"), ("capacity", "Capacity"))]
+    """All 55 policy columns, typed ones and documents, out of one JSON text per order."""
     policies = _policies(table(spark, sf_dir, "orders"))
-    rows = project_json(policies, "main_policy", [*documents, *POLICY_VALUES], rejects="rejects").drop("main_policy")
+    rows = project_json(policies, "main_policy", POLICY_FIELDS, rejects="rejects").drop("main_policy")
     utc = F.to_utc_timestamp("uc_created_at", F.current_timezone()).cast("timestamp_ntz")
     return rows.withColumns(
         {
@@ -328,6 +348,23 @@ def rate_message(spark, sf_dir):
     return found.select("o_orderkey", index_message(F.col("day"), F.col("value")).alias("value"))
 
 
+@register(
+    """
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
+           CASE WHEN o_orderstatus <> 'P' AND dayofweek(o_orderdate) NOT IN (0, 6) THEN o_custkey + 0.25 END::DOUBLE AS value,
+           CASE WHEN dayofweek(o_orderdate) IN (0, 6) THEN 'not a banking day' WHEN o_orderstatus = 'P' THEN 'not found'
+                ELSE 'found' END AS outcome
+    FROM orders
+    """
+)
+def index_outcome(spark, sf_dir):
+    """Each page with its outcome: value found, renamed row, or weekend."""
+    orders = table(spark, sf_dir, "orders")
+    pages = _index_pages(orders).join(orders.select("o_orderkey", F.to_date("o_orderdate").alias("fetched")), "o_orderkey")
+    found = index_outcomes(pages, F.col("fetched")).drop("fetched")
+    return found.withColumn("value", F.col("value").cast("double"))
+
+
 @register(
     """
     SELECT '{"dateFrom":"' || strftime(o_orderdate, '%Y-%m-%d') || '","countryCode":"FI","type":"TOTAL","value":' || o_custkey || '.0}' AS value
