@@ -126,11 +126,16 @@ def main_text(html: str, model_html: str | None, constant: frozenset[int]) -> st
 
 
 def _models(pages: DataFrame) -> DataFrame:
-    """One page of each host, of middling length: (host, model_id)."""
-    rows = pages.where("html is not null").select(host(F.col("url")).alias("host"), "page_id", F.octet_length("html").alias("size"))
-    middle = rows.groupBy("host").agg(F.percentile_approx("size", 0.5).alias("middle"))
-    nearest = F.min(F.struct(F.abs(F.col("size") - F.col("middle")).alias("far"), "page_id"))
-    return rows.join(middle, "host").groupBy("host").agg(nearest["page_id"].alias("model_id"))
+    """One page of each host, of the host's most usual length: (host, model_id).
+
+    Pages are counted by the power of two of their length before they meet, so a large host is a few rows.
+    """
+    rows = pages.where("html is not null").select(
+        host(F.col("url")).alias("host"), "page_id", F.floor(F.log2(F.octet_length("html") + 1)).alias("length")
+    )
+    lengths = rows.groupBy("host", "length").agg(F.count("*").alias("pages"), F.min("page_id").alias("page_id"))
+    usual = F.max(F.struct("pages", "length", "page_id"))
+    return lengths.groupBy("host").agg(usual["page_id"].alias("model_id"))
 
 
 def wrappers(pages: DataFrame) -> tuple[DataFrame, bool]:
