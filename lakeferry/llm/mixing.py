@@ -7,9 +7,12 @@ steps are DataFrame expressions and ``pyspark.ml`` stages; there is no Python on
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +25,10 @@ TARGETS = {"clean": 0.96, "low": 0.03, "toxic": 0.01}
 MOST_RATE = 1.0
 #: The fit uses at most this many labelled documents, chosen by a hash of their id.
 FIT_ROWS = 8_000
-FEATURES = 1 << 16
+#: Terms that the classifier may use, those in most documents of the fit; a term must be in some of them.
+TERMS, LEAST_DOCUMENTS = 1 << 14, 5
+#: Penalty on the sum of weights: most terms get none, so chance words of single documents do not count.
+PENALTY, RIDGE = 0.003, 0.0003
 STEPS = 40
 #: Gradient steps are part of one expression; after so many of them the rates are written and read again.
 STEPS_A_PLAN = 8
@@ -55,12 +61,16 @@ def features(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_key", F.col("n").cast("bigint").alias("n_tokens"), F.concat(plain, shapes).alias("terms"))
 
 
-def _hashing() -> HashingTF:
-    return HashingTF(inputCol="terms", outputCol="features", numFeatures=FEATURES, binary=True)
+@dataclass
+class DomainModel:
+    """Classifier of domains and the terms that have weight in it."""
+
+    stages: PipelineModel
+    terms: list[str]
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> LogisticRegressionModel | None:
-    """Classifier of domains: toxic, else low if the quality label is 0, else clean; None without two domains to learn.
+def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DomainModel | None:
+    """Classifier of domains: toxic, else low if the quality label is 0, else clean; None if there is nothing to tell.
 
     The bound is on the fit alone. Null ids and labels teach nothing; the worst of several labels of a document counts.
     """
@@ -70,12 +80,25 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Log
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     terms = features(known).join(F.broadcast(chosen), "doc_id").select("label", "terms")
     fit = landed(terms.repartition(16), "domain-fit")
-    if fit.select("label").distinct().count() < 2:
+    sizes = [r["count"] for r in fit.groupBy("label").count().collect()]
+    if len(sizes) < 2:
+        return None
+    # with few documents a chance word cannot be told from a telling one by its count
+    least = LEAST_DOCUMENTS if sum(sizes) >= 20 * LEAST_DOCUMENTS else 1
+    counts = CountVectorizer(inputCol="terms", outputCol="features", vocabSize=TERMS, minDF=float(least), binary=True).fit(fit)
+    sparse = LogisticRegression(family="multinomial", regParam=PENALTY, elasticNetParam=1.0, maxIter=30)
+    chosen = sparse.fit(counts.transform(fit)).coefficientMatrix.toArray()
+    used = [counts.vocabulary[k] for k in np.flatnonzero(np.abs(chosen).sum(0))]
+    if not used:
         return None
-    return LogisticRegression(family="multinomial", regParam=0.01, maxIter=30).fit(_hashing().transform(fit))
+    # the penalty has made its choice; fitted again without it, the probabilities are not drawn together
+    counts = CountVectorizerModel.from_vocabulary(used, inputCol="terms", outputCol="features")
+    counts.setBinary(True)
+    plain = LogisticRegression(family="multinomial", regParam=RIDGE, maxIter=40)
+    return DomainModel(PipelineModel([counts, plain.fit(counts.transform(fit))]), used)
 
 
-def posteriors(docs: DataFrame, model: LogisticRegressionModel | None) -> DataFrame:
+def posteriors(docs: DataFrame, model: DomainModel | None) -> DataFrame:
     """(doc_id, text_key, n_tokens, p) of every document; ``p`` has a probability for each of ``DOMAINS``."""
     rows = features(docs)
     if model is None:
@@ -83,7 +106,9 @@ def posteriors(docs: DataFrame, model: LogisticRegressionModel | None) -> DataFr
     p = vector_to_array("probability")
     # domains that the sample has not are not predicted
     every = F.array(*[F.coalesce(F.get(p, F.lit(k)), F.lit(0.0)) for k in range(len(DOMAINS))])
-    return model.transform(_hashing().transform(rows)).select("doc_id", "text_key", "n_tokens", every.alias("p"))
+    # terms without weight change nothing and need not be looked up
+    used = F.array_intersect("terms", F.lit(model.terms))
+    return model.stages.transform(rows.withColumn("terms", used)).select("doc_id", "text_key", "n_tokens", every.alias("p"))
 
 
 def fitted_rates(members: DataFrame, targets: dict[str, float], most_rate: float = MOST_RATE) -> DataFrame:
