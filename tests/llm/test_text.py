@@ -330,7 +330,8 @@ def test_mixing_keeps_clean_documents(spark):
     got = mixing.mixed(docs, table).collect()
     assert len(got) == len(rows)
     rate = {r["doc_id"]: r["rate"] for r in got}
-    assert all(rate[i] > 1 - 1e-9 for i in range(240) if i % 4 < 2)
+    # membership is soft, so a clean document may be a trace of another domain
+    assert all(rate[i] > 0.99 for i in range(240) if i % 4 < 2)
     assert sum(rate[i] for i in range(3, 240, 4)) < 10
     kept = mixing.sampled(docs, table)
     ids = Counter(r["doc_id"] for r in kept.collect())
