@@ -88,4 +88,50 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: SQL that gives the same rows, where SQL can: the other operators have trained models, tokenizers or hashes of their own.
+ORACLES: dict[str, str] = {
+    "op2_benchmark_decontamination": rf"""
+    WITH docs AS (SELECT doc_id, {_ITEM_WORDS} AS ws FROM documents),
+    items AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM (SELECT item_id, {_ITEM_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+    item_windows AS (
+      SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS g
+      FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM items)
+    ),
+    doc_windows AS (
+      SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+            FROM docs, (SELECT DISTINCT n FROM items) WHERE len(ws) >= n)
+    ),
+    found AS (SELECT doc_id, i, d.n AS n, item_id FROM doc_windows d JOIN item_windows USING (g)),
+    hits AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY 1),
+    named AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+    "op6_substring_dedup": r"""
+    WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (
+      SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM docs WHERE len(ws) >= 50)
+    ),
+    firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM windows JOIN firsts USING (h) WHERE first_id < doc_id
+    ),
+    every AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS k FROM docs),
+    kept AS (
+      SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS words FROM every ANTI JOIN gone USING (doc_id, k) GROUP BY 1
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(words, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (doc_id)
+    """,
+}
