@@ -23,6 +23,8 @@ CONSTANT_SHARE = 0.8
 SLOT_SHARE = 0.8
 #: Model pages are sent to all tasks up to this size together; beyond it they are joined by host.
 BROADCAST_BYTES = 8 << 20
+#: The hosts with the ids of their model pages are sent to all tasks up to this number; beyond it they are joined.
+BROADCAST_HOSTS = 50_000
 
 # Elements and words in class, id and role that never are main text.
 ASIDE_TAGS = RAW | frozenset("nav aside footer form noscript template button select datalist dialog svg canvas object head".split())
@@ -144,7 +146,8 @@ def wrappers(pages: DataFrame) -> tuple[DataFrame, bool]:
     All pages of a host are aligned with its model page; only counts by element leave the tasks, summed up there first.
     """
     pages = pages.select("page_id", "url", "html")
-    chosen = _models(pages)
+    chosen = landed(_models(pages), "chosen")
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_HOSTS else chosen
     texts = pages.join(chosen, (pages["page_id"] == chosen["model_id"]) & (host(pages["url"]) == chosen["host"]))
     models = landed(texts.groupBy("host").agg(F.min("html").alias("model_html")), "models")
     small = (models.agg(F.sum(F.octet_length("model_html"))).first()[0] or 0) <= BROADCAST_BYTES
