@@ -64,8 +64,10 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     columns = new.columns
     values = [c for c in columns if c not in keys]
     row = F.struct(F.lit(0).alias("__some"), *values).alias("__row")
-    same_key = Window.partitionBy(*keys)
     is_old = F.col("__is_old")
+    # the old row of a key comes first, so it is the one before the new row
+    old_first = Window.partitionBy(*keys).orderBy(is_old.desc())
+    same_key = old_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sides = (
         old.select(*keys, row, F.lit(True).alias("__is_old"))
         .unionByName(new.select(*keys, row, F.lit(False).alias("__is_old")))
@@ -73,8 +75,7 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
             {
                 "__n_old": F.count_if(is_old).over(same_key),
                 "__n_new": F.count_if(~is_old).over(same_key),
-                "__old": F.max(F.when(is_old, F.col("__row"))).over(same_key),
-                "__new": F.when(~is_old, F.col("__row")),
+                "__before": F.lag("__row").over(old_first),
             }
         )
         # one row stands for the key: the new one, or the old one of a deleted key
@@ -87,10 +88,9 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
         )
         .when(F.col("__n_old") == 0, F.lit("insert"))
         .when(F.col("__n_new") == 0, F.lit("delete"))
-        .when(~F.col("__old").eqNullSafe(F.col("__new")), F.lit("update"))
+        .when(~F.col("__before").eqNullSafe(F.col("__row")), F.lit("update"))
     )
-    shown = F.coalesce(F.col("__new"), F.col("__old"))
-    changed = sides.select(*keys, change.alias("change"), shown.alias("__row")).filter("change is not null")
+    changed = sides.select(*keys, change.alias("change"), "__row").filter("change is not null")
     return changed.select("change", *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in columns])
 
 
