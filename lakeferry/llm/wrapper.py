@@ -47,6 +47,11 @@ def _model(html: str) -> Tree:
     return parse(html)
 
 
+@lru_cache(maxsize=128)
+def _slots(html: str, constant: frozenset[int]) -> list[int]:
+    return content_slots(_model(html), constant)
+
+
 def _aside(tree: Tree, node: int) -> bool:
     return tree.tags[node] in ASIDE_TAGS or bool(tree.names[node] & ASIDE_NAMES)
 
@@ -84,8 +89,11 @@ def votes(model: Tree, page: Tree) -> dict[int, bool]:
     return found
 
 
-def content_slot(model: Tree, constant: frozenset[int]) -> int:
-    """Smallest element of the model page that still holds most of the varying text."""
+def content_slots(model: Tree, constant: frozenset[int]) -> list[int]:
+    """Elements of the model page that hold the content: those marked as the article, else the smallest element that
+    still holds most of the varying text."""
+    if named := _named_roots(model):
+        return named
     weights = [0 if n in constant else len(model.own_text(n)) for n in range(len(model.tags))]
     for n in range(len(weights) - 1, 0, -1):
         if _aside(model, n) or model.tags[n] in PAGE_HEADS:
@@ -97,32 +105,34 @@ def content_slot(model: Tree, constant: frozenset[int]) -> int:
         if not weights[node] or weights[best] < SLOT_SHARE * weights[node] or model.tags[best] in ("p", "li", "td", "pre"):
             break
         node = best
-    return node
+    return [node]
 
 
 def main_text(html: str, model_html: str | None, constant: frozenset[int]) -> str:
     """Main text of a page; ``constant`` are the template elements of the host's model page.
 
-    A page that marks its article is taken at its word; elsewhere the content slot of the wrapper is used, without the
-    template elements. Menus, adverts, forms, comments and the like are left out by their element or class.
+    The page is aligned with the model page: what stands where the model has its content slots is the content, without
+    the template elements. A page that has another marked article than the one found there, or none of the slots, is
+    read by its own marks, and without any as a whole. Inside a marked article nothing is template, since the pages of
+    a small host may well be copies. Menus, adverts, forms, comments and the like are left out by element or class.
     """
     page = parse(html)
-    roots = _named_roots(page)
-    if roots:
-        return text_of(page, roots, lambda n: _aside(page, n))
+    named = _named_roots(page)
     template: set[int] = set()
-    roots = [0]
+    roots: list[int] = []
     if model_html:
         model = _model(model_html)
         pairs = dict(align(model, page))
         template = {pairs[n] for n in constant if n in pairs}
-        slot = content_slot(model, constant)
-        roots = [pairs.get(slot, 0)]
+        roots = sorted(pairs[n] for n in _slots(model_html, constant) if n in pairs)
+    if not roots or named and not set(named) <= set(roots):
+        roots = named or [0]
+    marked = bool(named)
 
     def dropped(n: int) -> bool:
-        if _aside(page, n) or page.tags[n] in PAGE_HEADS:
+        if _aside(page, n) or not marked and page.tags[n] in PAGE_HEADS:
             return True
-        return n in template and not page.children[n]
+        return not marked and n in template and not page.children[n]
 
     return text_of(page, roots, dropped)
 
