@@ -11,7 +11,6 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^>]*)?\Z")
-_NAME = re.compile(r"[a-z]+")
 #: Deeper elements become siblings, as in browsers.
 DEEPEST = 200
 
@@ -43,7 +42,8 @@ ENDS = {
 
 @dataclass
 class Tree:
-    """Elements by number, parents first; ``items`` has texts and child numbers in page order."""
+    """Elements by number, parents first; ``items`` has texts and child numbers in page order, ``names`` the whole words
+    of class, id and role."""
 
     tags: list[str] = field(default_factory=list)
     labels: list[str] = field(default_factory=list)
@@ -59,7 +59,7 @@ class Tree:
         number = len(self.tags)
         self.tags.append(tag)
         self.labels.append(f"{tag}.{found['class']}" if found.get("class") else tag)
-        self.names.append(frozenset(_NAME.findall(" ".join(found.values()))) if found else frozenset())
+        self.names.append(frozenset(" ".join(found.values()).split()) if found else frozenset())
         self.parents.append(parent)
         self.items.append([])
         self.children.append([])

@@ -26,7 +26,10 @@ BROADCAST_BYTES = 8 << 20
 #: The hosts with the ids of their model pages are sent to all tasks up to this number; beyond it they are joined.
 BROADCAST_HOSTS = 50_000
 
-# Elements and words in class, id and role that never are main text.
+#: On a page without marks, an element beside which less than this share of the text is left is no aside by its name.
+NAMED_SHARE = 0.1
+
+# Elements, and whole words of class, id and role, that never are main text.
 ASIDE_TAGS = RAW | frozenset("nav aside footer form noscript template button select datalist dialog svg canvas object head".split())
 ASIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu "
@@ -35,6 +38,9 @@ ASIDE_NAMES = frozenset(
     "pagination pager toolbar login search skip contentinfo complementary banner".split()
 )
 PAGE_HEADS = frozenset(("header", "hgroup"))
+#: Elements that no name makes an aside, and names of the main text.
+FRAMES = frozenset(("#root", "html", "body", "main"))
+MAIN_NAMES = frozenset(("main", "main-content", "main_content", "maincontent"))
 
 
 def host(url):
@@ -52,31 +58,47 @@ def _slots(html: str, constant: frozenset[int]) -> list[int]:
     return content_slots(_model(html), constant)
 
 
-def _aside(tree: Tree, node: int) -> bool:
-    return tree.tags[node] in ASIDE_TAGS or bool(tree.names[node] & ASIDE_NAMES)
-
-
-def _named_roots(tree: Tree) -> list[int]:
-    """The outermost elements that say they are the main text: ``article``, else ``main``."""
-    for wanted in ("article", "main"):
-        found = [
-            n
-            for n, tag in enumerate(tree.tags)
-            if (tag == wanted or (wanted == "main" and "main" in tree.names[n] and tree.labels[n] != "body"))
-        ]
-        own = set(found)
-        kept = []
-        for n in found:
-            up, inside = n, False
-            while up >= 0:
-                inside |= up != n and up in own
-                inside |= _aside(tree, up)
-                up = tree.parents[up]
-            if not inside:
-                kept.append(n)
-        if kept:
-            return kept
-    return []
+def _marks(tree: Tree) -> tuple[list[int], frozenset[int], frozenset[int]]:
+    """The outermost elements that say they are the main text, the asides, and those asides that are so by name alone.
+
+    Articles outside of all asides come first, then main, then articles in elements with the name of an aside. What
+    holds main, or holds the articles where there are no others, is a wrapper whatever its classes say. An article in
+    another one (a comment) may be an aside, an outermost one is none.
+    """
+    count = len(tree.tags)
+    hard, soft, inside, nested = [False] * count, [False] * count, [False] * count, [False] * count
+    articles, mains = [], []
+    for n, tag in enumerate(tree.tags):
+        up = tree.parents[n]
+        nested[n] = up >= 0 and (nested[up] or tree.tags[up] == "article")
+        hard[n] = tag in ASIDE_TAGS and tag != "form" or up >= 0 and hard[up]
+        soft[n] = tag == "form" or tag not in FRAMES and bool(tree.names[n] & ASIDE_NAMES) and (tag != "article" or nested[n])
+        inside[n] = soft[n] or up >= 0 and inside[up]
+        if hard[n]:
+            continue
+        if tag == "article" and not nested[n]:
+            articles.append(n)
+        elif tag == "main" or tree.names[n] & MAIN_NAMES and tag not in FRAMES and not soft[n]:
+            mains.append(n)
+    free = [n for n in articles if not inside[n]]
+    wrappers = set()
+    for n in [*mains, *([] if free else articles)]:
+        while n >= 0 and n not in wrappers:
+            wrappers.add(n)
+            n = tree.parents[n]
+    roots = free or _outermost(tree, mains) or articles
+    named = frozenset(n for n in range(count) if soft[n] and n not in wrappers and not hard[n])
+    return roots, named | {n for n, tag in enumerate(tree.tags) if tag in ASIDE_TAGS and n not in wrappers}, named
+
+
+def _outermost(tree: Tree, found: list[int]) -> list[int]:
+    own, below, kept = set(found), set(), []
+    for n, up in enumerate(tree.parents):
+        if up in own or up in below:
+            below.add(n)
+        elif n in own:
+            kept.append(n)
+    return kept
 
 
 def votes(model: Tree, page: Tree) -> dict[int, bool]:
@@ -92,11 +114,12 @@ def votes(model: Tree, page: Tree) -> dict[int, bool]:
 def content_slots(model: Tree, constant: frozenset[int]) -> list[int]:
     """Elements of the model page that hold the content: those marked as the article, else the smallest element that
     still holds most of the varying text."""
-    if named := _named_roots(model):
-        return named
+    marked, asides, _ = _marks(model)
+    if marked:
+        return marked
     weights = [0 if n in constant else len(model.own_text(n)) for n in range(len(model.tags))]
     for n in range(len(weights) - 1, 0, -1):
-        if _aside(model, n) or model.tags[n] in PAGE_HEADS:
+        if n in asides or model.tags[n] in PAGE_HEADS:
             weights[n] = 0
         weights[model.parents[n]] += weights[n]
     node = 0
@@ -114,10 +137,11 @@ def main_text(html: str, model_html: str | None, constant: frozenset[int]) -> st
     The page is aligned with the model page: what stands where the model has its content slots is the content, without
     the template elements. A page that has another marked article than the one found there, or none of the slots, is
     read by its own marks, and without any as a whole. Inside a marked article nothing is template, since the pages of
-    a small host may well be copies. Menus, adverts, forms, comments and the like are left out by element or class.
+    a small host may well be copies. Menus, adverts, forms, comments and the like are left out by element or by whole
+    words of class, id and role; a name that would leave nothing, or next to nothing of an unmarked page, does not count.
     """
     page = parse(html)
-    named = _named_roots(page)
+    named, asides, by_name = _marks(page)
     template: set[int] = set()
     roots: list[int] = []
     if model_html:
@@ -129,12 +153,24 @@ def main_text(html: str, model_html: str | None, constant: frozenset[int]) -> st
         roots = named or [0]
     marked = bool(named)
 
-    def dropped(n: int) -> bool:
-        if _aside(page, n) or not marked and page.tags[n] in PAGE_HEADS:
-            return True
-        return not marked and n in template and not page.children[n]
+    def read(roots: list[int], asides: frozenset[int]) -> str:
+        def dropped(n: int) -> bool:
+            if n in asides or not marked and page.tags[n] in PAGE_HEADS:
+                return True
+            return not marked and n in template and not page.children[n]
 
-    return text_of(page, roots, dropped)
+        return text_of(page, roots, dropped)
+
+    text = read(roots, asides)
+    while by_name and (not text or not marked):
+        # the largest outermost one is a wrapper if the page has next to nothing beside it
+        sizes = {n: len(read([n], asides - {n})) or len(read([n], asides - by_name)) for n in _outermost(page, by_name)}
+        largest = max(sizes, key=lambda n: sizes[n])
+        if not sizes[largest] or len(text) > NAMED_SHARE * (len(text) + sizes[largest]):
+            break
+        asides, by_name = asides - {largest}, by_name - {largest}
+        text = read(roots, asides)
+    return text
 
 
 def _models(pages: DataFrame) -> DataFrame:

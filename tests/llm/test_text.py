@@ -469,3 +469,27 @@ def test_deep_and_long_pages():
     assert wrapper.main_text(deep, deep, frozenset()) == "end"
     long = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
     assert len(wrapper.main_text(long, PLAIN, frozenset()).split()) == 60_000
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('<body class="has-sidebar">', ""),
+        ('<body class="sidebar">', ""),
+        ('<body><div class="layout-no-sidebar">', "</div>"),
+        ('<body><div class="wrapper social">', "</div>"),
+        ('<body><form id="search">', "</form>"),
+        ('<body><main class="with-menu menu">', "</main>"),
+    ],
+)
+def test_layout_classes_are_no_asides(before, after):
+    for inner in ('<article class="post comments-open">{}</article>', '<article class="notice">{}</article>', "<div class='text'>{}</div>"):
+        inner = inner.format('<h1>Head</h1><p>Body text.</p><div class="comments">me too</div>')
+        html = f"<html>{before}<nav>Home</nav>{inner}{after}<footer>us</footer></html>"
+        assert wrapper.main_text(html, html, frozenset()) == "Head Body text.", html
+    alone = '<body><article>The article</article><div class="related"><article>Another</article></div></body>'
+    assert wrapper.main_text(alone, None, frozenset()) == "The article"
+    inner = '<article><div class="social">All of it</div></article>'
+    assert wrapper.main_text(inner, None, frozenset()) == "All of it"
+    thread = '<article>Text<section id="comments"><article class="comment">me too</article></section></article>'
+    assert wrapper.main_text(thread, None, frozenset()) == "Text"
