@@ -1,10 +1,12 @@
 """Main text of web pages by wrapper induction: the trees of a host's pages are aligned with one of them.
 
-Elements whose text is the same on the aligned pages belong to the template, slots whose text varies to the content.
+Elements whose text is the same on distinct aligned pages belong to the template, text that varies to the content.
 """
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -15,12 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeferry.llm.common import landed
-from lakeferry.llm.dom import RAW, Tree, align, parse, text_of
+from lakeferry.llm.dom import INLINE, RAW, Tree, align, parse, text_of
 
 #: An element is template if this share of the pages that have it agree on its text.
 CONSTANT_SHARE = 0.8
-#: Elements with this share of the varying text of their parent are gone into when the content slot is sought.
-SLOT_SHARE = 0.8
+#: Distinct pages besides the model page that must have an element before it can be template.
+LEAST_PAGES = 2
 #: Model pages are sent to all tasks up to this size together; beyond it they are joined by host.
 BROADCAST_BYTES = 8 << 20
 #: The hosts with the ids of their model pages are sent to all tasks up to this number; beyond it they are joined.
@@ -54,8 +56,18 @@ def _model(html: str) -> Tree:
 
 
 @lru_cache(maxsize=128)
-def _slots(html: str, constant: frozenset[int]) -> list[int]:
-    return content_slots(_model(html), constant)
+def _model_roots(html: str) -> list[int]:
+    return _marks(_model(html))[0]
+
+
+def content_hash(page: Tree) -> bytes:
+    """Equal for pages with the same text: copies, whatever their attributes."""
+    return hashlib.blake2b(text_of(page, [0], lambda n: False).encode("utf-8", "replace"), digest_size=16).digest()
+
+
+@lru_cache(maxsize=128)
+def _model_hash(html: str) -> bytes:
+    return content_hash(_model(html))
 
 
 def _marks(tree: Tree) -> tuple[list[int], frozenset[int], frozenset[int]]:
@@ -111,47 +123,45 @@ def votes(model: Tree, page: Tree) -> dict[int, bool]:
     return found
 
 
-def content_slots(model: Tree, constant: frozenset[int]) -> list[int]:
-    """Elements of the model page that hold the content: those marked as the article, else the smallest element that
-    still holds most of the varying text."""
-    marked, asides, _ = _marks(model)
-    if marked:
-        return marked
-    weights = [0 if n in constant else len(model.own_text(n)) for n in range(len(model.tags))]
+def content_slot(page: Tree, template: set[int], asides: frozenset[int]) -> int:
+    """The smallest element of a page without marks that holds all its varying text, which no template element or
+    aside has."""
+    weights = [0 if n in template else len(page.own_text(n)) for n in range(len(page.tags))]
     for n in range(len(weights) - 1, 0, -1):
-        if n in asides or model.tags[n] in PAGE_HEADS:
+        if n in asides or page.tags[n] in PAGE_HEADS:
             weights[n] = 0
-        weights[model.parents[n]] += weights[n]
+        weights[page.parents[n]] += weights[n]
     node = 0
-    while model.children[node]:
-        best = max(model.children[node], key=lambda c: weights[c])
-        if not weights[node] or weights[best] < SLOT_SHARE * weights[node] or model.tags[best] in ("p", "li", "td", "pre"):
+    while weights[node]:
+        whole = [c for c in page.children[node] if weights[c] == weights[node]]
+        if not whole or page.tags[whole[0]] in ("p", "li", "td", "pre") or page.tags[whole[0]] in INLINE:
             break
-        node = best
-    return [node]
+        node = whole[0]
+    return node
 
 
 def main_text(html: str, model_html: str | None, constant: frozenset[int]) -> str:
     """Main text of a page; ``constant`` are the template elements of the host's model page.
 
-    The page is aligned with the model page: what stands where the model has its content slots is the content, without
-    the template elements. A page that has another marked article than the one found there, or none of the slots, is
-    read by its own marks, and without any as a whole. Inside a marked article nothing is template, since the pages of
-    a small host may well be copies. Menus, adverts, forms, comments and the like are left out by element or by whole
-    words of class, id and role; a name that would leave nothing, or next to nothing of an unmarked page, does not count.
+    A page without marks is aligned with the model page, and its content is all text that is not template there. A
+    marked page is read where the model has its marked article; a page that has another one is read by its own marks.
+    Inside a marked article nothing is template, since the pages of a small host may well be copies. Menus, adverts,
+    forms, comments and the like are left out by element or by whole words of class, id and role; a name that would
+    leave nothing, or next to nothing of an unmarked page, does not count.
     """
     page = parse(html)
     named, asides, by_name = _marks(page)
+    marked = bool(named)
     template: set[int] = set()
     roots: list[int] = []
     if model_html:
-        model = _model(model_html)
-        pairs = dict(align(model, page))
+        pairs = dict(align(_model(model_html), page))
         template = {pairs[n] for n in constant if n in pairs}
-        roots = sorted(pairs[n] for n in _slots(model_html, constant) if n in pairs)
-    if not roots or named and not set(named) <= set(roots):
-        roots = named or [0]
-    marked = bool(named)
+        roots = sorted(pairs[n] for n in _model_roots(model_html) if n in pairs)
+    if not marked:
+        roots = roots or [content_slot(page, template, asides)]
+    elif not set(named) <= set(roots):
+        roots = named
 
     def read(roots: list[int], asides: frozenset[int]) -> str:
         def dropped(n: int) -> bool:
@@ -189,7 +199,8 @@ def _models(pages: DataFrame) -> DataFrame:
 def wrappers(pages: DataFrame) -> tuple[DataFrame, bool]:
     """(host, model_html, constant) of every host, written to the shared folder, and whether they may be broadcast.
 
-    All pages of a host are aligned with its model page; only counts by element leave the tasks, summed up there first.
+    All pages of a host are aligned with its model page. Copies have one vote together and those of the model page none:
+    a page leaves its task as two bits for each element of the model page, copies are folded, then votes are summed.
     """
     pages = pages.select("page_id", "url", "html")
     chosen = landed(_models(pages), "chosen")
@@ -198,17 +209,39 @@ def wrappers(pages: DataFrame) -> tuple[DataFrame, bool]:
     models = landed(texts.groupBy("host").agg(F.min("html").alias("model_html")), "models")
     small = (models.agg(F.sum(F.octet_length("model_html"))).first()[0] or 0) <= BROADCAST_BYTES
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0])
+            own: dict[tuple[str, bytes], bytes] = {}
             columns = (batch.column(c).to_pylist() for c in ("host", "model_html", "html"))
             for name, model_html, html in zip(*columns, strict=True):
                 if html is None or model_html is None:
                     continue
-                for node, same in votes(_model(model_html), parse(html)).items():
-                    own = sums[name, node]
-                    own[0] += 1
-                    own[1] += same
+                page = parse(html)
+                key = (name, content_hash(page))
+                if key[1] == _model_hash(model_html):
+                    continue
+                bits = bytearray(len(_model(model_html).tags))
+                for node, same in votes(_model(model_html), page).items():
+                    bits[node] = 1 + same
+                packed = zlib.compress(bytes(bits), 1)
+                own[key] = min(own.get(key, packed), packed)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "host": pa.array([k[0] for k in own], pa.string()),
+                    "copy": pa.array([k[1] for k in own], pa.binary()),
+                    "bits": pa.array([*own.values()], pa.binary()),
+                }
+            )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0])
+            for name, bits in zip(batch.column("host").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                for node, bit in enumerate(zlib.decompress(bits)):
+                    if bit:
+                        own = sums[name, node]
+                        own[0] += 1
+                        own[1] += bit - 1
             keys = [*sums]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -220,9 +253,11 @@ def wrappers(pages: DataFrame) -> tuple[DataFrame, bool]:
             )
 
     rows = pages.select(host(F.col("url")).alias("host"), "html").join(F.broadcast(models) if small else models, "host")
-    counts = rows.select("host", "model_html", "html").mapInArrow(count, "host string, node int, seen bigint, same bigint")
+    voted = rows.select("host", "model_html", "html").mapInArrow(vote, "host string, copy binary, bits binary")
+    voted = voted.groupBy("host", "copy").agg(F.min("bits").alias("bits")).select("host", "bits")
+    counts = voted.mapInArrow(count, "host string, node int, seen bigint, same bigint")
     counts = counts.groupBy("host", "node").agg(F.sum("seen").alias("seen"), F.sum("same").alias("same"))
-    constant = counts.where((F.col("seen") > 1) & (F.col("same") >= CONSTANT_SHARE * F.col("seen")))
+    constant = counts.where((F.col("seen") >= LEAST_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("seen")))
     constant = constant.groupBy("host").agg(F.collect_list("node").alias("constant"))
     return landed(models.join(constant, "host", "left"), "wrappers"), small
 

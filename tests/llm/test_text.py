@@ -493,3 +493,17 @@ def test_layout_classes_are_no_asides(before, after):
     assert wrapper.main_text(inner, None, frozenset()) == "All of it"
     thread = '<article>Text<section id="comments"><article class="comment">me too</article></section></article>'
     assert wrapper.main_text(thread, None, frozenset()) == "Text"
+
+
+def test_copies_are_no_template(spark):
+    plain = "<html><body><div>The Site</div><div><p>Lead {n}</p><div>{long}</div><p>End {n}</p></div><div>Imprint</div></body></html>"
+    copy = plain.format(n="a", long="copied " * 9)
+    rows = [(i, "http://two.example/", copy) for i in range(2)]
+    rows += [(10 + i, "http://many.example/", copy.replace("<html>", f"<html lang='{i % 3}'>")) for i in range(30)]
+    rows += [(50 + i, "http://many.example/", plain.format(n=i, long=f"own{i} " * 9)) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    text = {r["page_id"]: r["text"] for r in wrapper.extracted(df).collect()}
+    # copies say nothing on the template of a host, so its text is kept
+    assert all("Lead a " + "copied " * 9 + "End a" in text[i] for i in range(2))
+    assert all(text[10 + i] == "Lead a " + "copied " * 9 + "End a" for i in range(30))
+    assert all(text[50 + i] == f"Lead {i} " + f"own{i} " * 9 + f"End {i}" for i in range(4))
