@@ -283,6 +283,43 @@ def test_notices(spark):
     assert licenses.license_notices(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+WRAPPED = {
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "lgpl": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "mit": """Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software and associated documentation files""",
+    "bsd": """Redistribution and use in source and binary
+forms, with or without modification, are permitted provided that""",
+    "apache": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.""",
+    "cc0": """This work is
+dedicated to the
+public domain""",
+}
+
+
+def test_wrapped_notices(spark):
+    rng = random.Random(8)
+    rows, want = [], []
+    for mark in ("", " * ", "# ", "// ", "dnl "):
+        for family, text in WRAPPED.items():
+            before = [" ".join(prose(rng, 12)) for _ in range(3)]
+            rows.append((len(rows), "\n".join(before + [mark + x for x in text.split("\n")] + before), "en", "s", 0))
+            want.append((rows[-1][0], family))
+    narrow = WRAPPED["gpl"].replace("\n", " ").split()
+    rows.append((900, "\n".join(" ".join(narrow[k : k + 3]) for k in range(0, len(narrow), 3)), "en", "s", 0))
+    got = licenses.license_notices(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["family"]) for r in got) == sorted([*want, (900, "gpl")])
+    first = {"lgpl": (3, 4)}
+    assert all(r["paragraph"] in first.get(r["family"], (3,)) for r in got if r["doc_id"] < 900)
+
+
 # mixing
 
 
