@@ -21,6 +21,8 @@ FIT_ROWS = 8_000
 FIT_BYTES = 16 << 20
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
+#: Texts are compressed in chunks of about this size, each fresh against the dictionaries.
+CHUNK_BYTES = 1 << 12
 _HEADER_BYTES = 20
 _RIDGE = 0.1
 
@@ -54,13 +56,25 @@ def _compressors(good: bytes, bad: bytes):
     return made
 
 
+def _chunks(text: bytes) -> list[bytes]:
+    """Parts of nearly equal size, at most CHUNK_BYTES each; an empty text is one."""
+    count = max(1, -(-len(text) // CHUNK_BYTES))
+    return [text[len(text) * k // count : len(text) * (k + 1) // count] for k in range(count)]
+
+
 def _sizes(texts: list[bytes], good, bad) -> np.ndarray:
-    return np.array([(len(good.compress(t)), len(bad.compress(t)), len(t)) for t in texts], float)
+    """(good, bad, bytes, chunks) of each text, the compressed sizes summed over its chunks."""
+    rows = []
+    for text in texts:
+        parts = _chunks(text)
+        rows.append((sum(len(good.compress(c)) for c in parts), sum(len(bad.compress(c)) for c in parts), len(text), len(parts)))
+    return np.array(rows, float)
 
 
 def _features(sizes: np.ndarray) -> np.ndarray:
-    """The size difference, normalised by text length and by compressed size, with the ratio itself, and products."""
-    good, bad, n = sizes.T
+    """The size difference, normalised by text length and by compressed size, with the ratio itself, and products: all
+    of the mean chunk, so that long texts are like those of the fit."""
+    good, bad, n = (sizes[:, :3] / sizes[:, 3:]).T
     n = n + _HEADER_BYTES
     base = np.stack([(bad - good) / n, (bad - good) / (bad + good), good / n, np.log(good / n), 1 / np.sqrt(n)], 1)
     products = [base[:, [i]] * base[:, i:] for i in range(base.shape[1])]

@@ -251,6 +251,28 @@ def test_quality_without_both_labels(spark, labels, score):
     assert compression.scored(docs.limit(0), table).count() == 0
 
 
+def test_quality_of_long_texts_counts_all_of_them(spark):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 2 == 0
+        own = prose(rng, rng.choice([80, 200, 400]))
+        rows.append((i, " ".join(w + "%%%" for w in own) if bad else " ".join(own), "en", "s", 0))
+        labels.append((i, 0 if bad else 1, 0))
+    model = compression.fit_quality(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    fine = " ".join(prose(rng, 300_000)).encode()
+    junk = " ".join(w + "%%%" for w in prose(rng, 300_000)).encode()
+    sizes = compression._sizes([fine, junk, fine + junk, junk + fine], *compression._compressors(model.good, model.bad))
+    margin = (sizes[:, 1] - sizes[:, 0]) / sizes[:, 2]
+    # the evidence does not fade with the length, and what comes first has no more weight than what comes last
+    assert margin[0] > 0.005 and margin[1] < -0.005
+    assert np.isclose(margin[2], margin[3], atol=0.002) and margin[1] < margin[2] < margin[0]
+    scores = model.scores([fine, junk])
+    assert scores[0] > 0.9 and scores[1] < 0.1
+    halves = model.scores([fine + junk, junk + fine])
+    assert abs(halves[0] - halves[1]) < 0.05
+
+
 # licences
 
 
