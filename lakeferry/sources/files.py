@@ -19,6 +19,10 @@ CORRUPT = "_corrupt"
 UNSPLIT_BYTES = 128 << 20
 #: Bad rows that a load of an export may have.
 MAX_BAD_ROWS = 10
+#: More lines than this in one row of a split CSV file fail the load.
+MAX_RECORD_LINES = 10_000
+# a line that ends in an open quoted value: only quotes at the start of a value open one
+_LEFT_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+$'
 # what a quoted empty text is read as, to tell it from a missing value
 _EMPTY = "\u0000"
 
@@ -39,11 +43,15 @@ def read_csv(
 
     Large files are split. Where values may hold newlines, files over ``max_file_bytes``
     are read line by line and the lines of a row are joined again: a line starts a row if
-    the number of quotes before it in the file is even. Smaller files are one task each.
+    no quoted value is open before it. Smaller files are one task each. Quotes inside an
+    unquoted value are characters. A file that ends in an open quoted value fails the load,
+    whatever its size, since the rows after the quote would be lost.
     """
     if header_rows not in (0, 1):
         raise ValueError("a CSV export has no or one header row")
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    if quoted_newlines:
+        _refuse_open_ends(spark, path)
     layout = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": _EMPTY}
     if quoted_newlines and _largest_file(spark, path) > max_file_bytes:
         ddl = ", ".join(f"{quoted(f.name)} string" for f in text.fields)
@@ -72,27 +80,66 @@ def _largest_file(spark: SparkSession, path: str) -> int:
     return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
 
 
-def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
-    """Texts of the rows of CSV files whose values may hold newlines; the files are read in splits.
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with ``reset`` and ``swaps``: what a line does to the state (1 inside a quoted value, else 0).
 
-    Lines are counted within their split, and what crosses splits is one small row for each of them: the quotes
-    before it and the last row start before it. Only rows of several lines are put together.
+    Most lines leave it or set it whatever it was; one that turns it around is a swap.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
-        (F.length("value") - F.length(F.replace("value", F.lit('"')))).alias("quotes"),
     )
+    plain = F.regexp_replace("value", r"\r$", "")
+    outside = F.when(F.instr("value", '"') == 0, 0).otherwise(F.rlike(plain, F.lit(_LEFT_OPEN)).cast("int"))
+    inside = F.when(F.instr("value", '"') == 0, 1).otherwise(F.rlike(F.concat(F.lit('"'), plain), F.lit(_LEFT_OPEN)).cast("int"))
+    lines = lines.select("*", outside.alias("outside"), inside.alias("inside"))
+    return lines.select(
+        "file",
+        "block",
+        "line",
+        "value",
+        F.when(F.col("outside") == F.col("inside"), F.col("outside")).alias("reset"),
+        (F.col("outside") > F.col("inside")).cast("int").alias("swap"),
+    )
+
+
+def _csv_states(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines with the state before them, counted within their split, and splits with the state before and after them."""
+    inside = Window.partitionBy("file", "block").orderBy("line")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    # the state after a line is the last reset, turned around by the swaps since
+    counted = lines.withColumn("swaps", F.sum("swap").over(upto))
+    counted = counted.withColumn("set", F.last(F.when(F.col("reset").isNotNull(), (F.col("reset") + F.col("swaps")) % 2), ignorenulls=True).over(upto))
+    splits = counted.groupBy("file", "block").agg(F.max_by("set", "line").alias("set"), F.sum("swap").alias("swaps"))
+    every = Window.partitionBy("file").orderBy("block")
+    ahead = every.rowsBetween(Window.unboundedPreceding, 0)
+    splits = splits.withColumn("all", F.sum("swaps").over(ahead))
+    fixed = F.last(F.when(F.col("set").isNotNull(), (F.col("set") + F.col("all") - F.col("swaps")) % 2), ignorenulls=True).over(ahead)
+    splits = splits.withColumn("after", (F.coalesce(fixed, F.lit(0)) + F.col("all")) % 2)
+    splits = splits.select("file", "block", "after", F.coalesce(F.lag("after").over(every), F.lit(0)).alias("ahead"))
+    known = counted.join(splits, ["file", "block"])
+    after = (F.coalesce("set", "ahead") + F.col("swaps")) % 2
+    return known.withColumn("odd", F.coalesce(F.lag(after).over(inside), F.col("ahead"))), splits
+
+
+def _refuse_open_ends(spark: SparkSession, path: str) -> None:
+    splits = _csv_states(_csv_lines(spark, path))[1]
+    ends = splits.groupBy("file").agg(F.max_by("after", "block").alias("after")).where("after = 1")
+    if found := ends.select("file").first():
+        raise ValueError(f"{found['file']} ends in an open quoted value")
+
+
+def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
+    """Texts of the rows of CSV files whose values may hold newlines; the files are read in splits.
+
+    Lines are counted within their split, and what crosses splits is one small row for each of them: the state before
+    it and the last row start before it. Only rows of several lines are put together.
+    """
+    counted = _csv_states(_csv_lines(spark, path))[0]
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"))
-    splits = splits.select("file", "block", F.coalesce(F.sum("quotes").over(before), F.lit(0)).alias("ahead"))
     inside = Window.partitionBy("file", "block").orderBy("line")
-    counted = lines.join(splits, ["file", "block"]).withColumn(
-        "odd",
-        (F.col("ahead") + F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2,
-    )
     started = counted.withColumn(
         "start", F.last(F.when(F.col("odd") == 0, F.col("line")), ignorenulls=True).over(inside)
     ).withColumn("first", (F.row_number().over(inside) == 1) & (F.col("block") == 0))
@@ -103,6 +150,9 @@ def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"), F.max("first").alias("first")
     )
     record = F.regexp_replace(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), r"\r$", "")
+    record = F.when(F.size("lines") <= MAX_RECORD_LINES, record).otherwise(
+        F.raise_error(F.concat(F.lit("a row of too many lines: "), F.substring(record, 1, 200)))
+    )
     rows = joined.where("not first") if header_rows else joined
     return rows.select(record.alias("record")).where(F.trim("record") != "")
 

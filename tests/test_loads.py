@@ -230,3 +230,20 @@ def test_outcome_of_the_index_fetch(spark):
     for bad in (page("renamed"), page(INDEX_TITLE, "3/4/2024"), "<p>none</p>", None):
         with pytest.raises(CheckFailed, match="no index value"):
             require_index(spark.createDataFrame([(bad,)], "html string"), tuesday)
+
+
+def test_stray_quotes_lose_no_rows(spark, tmp_path):
+    rows = ['1,5" pipe', '2,"two\nlines, ""quoted"""', "3,plain", '4,3" and 4" pipes, say', '5,"', '6"', "7,end", '8,"a"', '9,x"y']
+    file = tmp_path / "pipes.csv"
+    file.write_text("\n".join(rows * 40) + "\n")
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        read = [sorted(map(tuple, files.read_csv(spark, str(file), schema, max_file_bytes=n).collect()), key=str) for n in (1 << 20, 0)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert read[0] == read[1] and len(read[0]) == 40 * 8 and ("1", '5" pipe', False) in read[0]
+    (tmp_path / "open.csv").write_text('1,a\n2,"open\n3,b\n')
+    for n in (1 << 20, 0):
+        with pytest.raises(ValueError, match="open quoted value"):
+            files.read_csv(spark, str(tmp_path / "open.csv"), schema, max_file_bytes=n)
