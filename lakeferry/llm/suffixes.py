@@ -68,7 +68,7 @@ class SuffixArray:
     match and are left out. Suffixes are sorted by prefix doubling up to the longest test suffix.
     """
 
-    def __init__(self, numbers: np.ndarray, shortest: int, longest: int):
+    def __init__(self, numbers: np.ndarray, shortest: int, longest: int, window: int):
         known = np.concatenate(([False], numbers >= 0, [False]))
         begins, ends = np.flatnonzero(known[1:] & ~known[:-1]), np.flatnonzero(known[:-1] & ~known[1:])
         fits = ends - begins >= shortest
@@ -87,7 +87,7 @@ class SuffixArray:
                 break
         order = np.argsort(rank, kind="stable")
         self.order = order[self.tokens[order] >= 0]
-        self.tokens = np.concatenate((self.tokens, np.full(max(longest, 1), -1)))
+        self.tokens = np.concatenate((self.tokens, np.full(max(longest, window), -1)))
 
 
 def matches(array: SuffixArray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +146,7 @@ def shard_spans(texts: list[bytes], tests: TestSuffixes) -> Iterator[tuple[int,
         numbers.append(np.fromiter((get(w, -1) for w in own), np.int32, count=len(own)))
         numbers.append(np.array([-1], np.int32))
         sizes.append(len(own))
-    array = SuffixArray(np.concatenate(numbers) if numbers else np.empty(0, np.int32), tests.shortest, tests.longest)
+    array = SuffixArray(np.concatenate(numbers) if numbers else np.empty(0, np.int32), tests.shortest, tests.longest, tests.window)
     place, length, item = matches(array, tests)
     begins = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64) + 1)))
     sort = np.lexsort((item, length, place))

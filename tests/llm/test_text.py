@@ -93,6 +93,13 @@ def test_decontaminated(spark):
     assert longest.first()[0] == 35
 
 
+@pytest.mark.parametrize("size", range(1, 11))
+def test_short_items_at_the_end_of_a_shard(size):
+    item = " ".join(f"w{k}" for k in range(size))
+    found = suffixes.shard_spans([b"other", f"before {item}".encode()], suffixes.TestSuffixes([(7, item.encode())], suffixes.WINDOW_WORDS))
+    assert [s for _, s in found] == [[], [{"start": 1, "length": size, "item_id": 7}]]
+
+
 # quality rules
 
 
