@@ -1,4 +1,4 @@
-"""Repeated passages by relative Lempel-Ziv parsing against an index of all documents.
+"""Repeated passages by anchored blocks and an index of all documents, in place of greedy relative Lempel-Ziv factoring.
 
 Each document is a row of words, and every window of ``WINDOW_WORDS`` of them has one anchor: its smallest run of
 ``SEED_WORDS`` words by hash. Windows in a row with the same anchor form a block, so a document is parsed into blocks
