@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, suffixes, supervision, tokens, wrapper
+from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, suffixes, supervision, tokens, whitening, wrapper
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -76,6 +76,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading whitened components of every embedding."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

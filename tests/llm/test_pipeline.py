@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_queries_are_registered():
     found = entry_point.queries()
     assert queries.QUERIES.keys() <= found.keys() and "pipeline" in found
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == [*range(1, 11)]
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == [*range(1, 12)]
 
 
 @pytest.fixture(scope="module")
@@ -76,7 +76,7 @@ def test_run_gives_the_stages_rows(spark, stages):
 
 
 def test_empty_tables(spark, tmp_path):
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name, query in {**queries.QUERIES, "pipeline": corpus_pipeline.run}.items():
         assert query(spark, str(tmp_path)).count() == 0, name
