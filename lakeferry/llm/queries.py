@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, suffixes, supervision, tokens, whitening, wrapper
+from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, spelling, suffixes, supervision, tokens, whitening, wrapper
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
+#: One in so many runs of letters, by hash, loses a letter before words are counted.
+CUT_ONE_IN = 199
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
@@ -81,6 +84,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, with the query's planted misspellings."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), cut_one_in=CUT_ONE_IN)
+    return spelling.grouped(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -93,6 +102,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
