@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, spelling, suffixes, supervision, tokens, whitening, wrapper
+from lakeferry.llm import compression, language, lempel_ziv, licenses, mixing, simhash, spelling, suffixes, supervision, syncmers, tokens, whitening, wrapper
 from lakeferry.llm.common import table
 from lakeferry.sinks.storage import shared_path
 
@@ -84,6 +84,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
+    return syncmers.compared(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the words of all documents, with the query's planted misspellings."""
     words = spelling.word_counts(table(spark, sf_dir, "documents"), cut_one_in=CUT_ONE_IN)
@@ -102,6 +107,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_spelling_variants": op13_spelling_variants,
 }
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_queries_are_registered():
     found = entry_point.queries()
     assert queries.QUERIES.keys() <= found.keys() and "pipeline" in found
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == [*range(1, 12), 13]
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == [*range(1, 14)]
 
 
 @pytest.fixture(scope="module")
