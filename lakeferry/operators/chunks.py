@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from collections.abc import Iterable, Iterator, Sequence
+from datetime import date, datetime, timedelta
+from itertools import pairwise
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from lakeferry.sinks.storage import shared_path
 
 
 def range_predicates(
@@ -56,3 +63,77 @@ def day_predicates(
 def midnight(day: date) -> str:
     """Start of a day in UTC; databases drop the zone for columns without one."""
     return f"{day.isoformat()} 00:00:00+00"
+
+
+def starts_text(columns: Sequence[str], table: str, rows_per_chunk: int, where: str | None = None) -> str:
+    """Query for the first key of every chunk: the bounds of an equi-depth histogram, which the database computes.
+
+    ``columns`` are a key, or a key and a unique column that orders rows of one key. An index on them gives the order.
+    Rows without a key belong to the first chunk.
+    """
+    listed = ", ".join(columns)
+    present = f"{columns[0]} is not null" + (f" and ({where})" if where else "")
+    numbered = f"select {listed}, row_number() over (order by {listed}) as place from {table} where {present}"
+    return f"select {listed} from ({numbered}) n where mod(place - 1, {rows_per_chunk}) = 0 order by {listed}"
+
+
+def chunk_starts(df: DataFrame, columns: Sequence[str], rows_per_chunk: int) -> DataFrame:
+    """The rows of ``starts_text`` for a DataFrame, without an order of all rows in one task.
+
+    Keys are dealt into ranges and written once; a key's place is its place in its range and the size of the ranges
+    before it, of which there is one row each.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "chunk-keys")
+    keys = df.select(*columns).where(df[columns[0]].isNotNull()).withColumn("__task", F.spark_partition_id())
+    ranged = keys.repartitionByRange(*columns, "__task").drop("__task")
+    ranged.withColumn("__range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema(f"{_ddl(df, columns)}, __range int").parquet(path)
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
+    ahead = sizes.select(F.col("__range").alias("__own"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__ahead"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*columns)) - 1 + F.col("__ahead")
+    placed = ranged.join(ahead, ranged["__range"] == ahead["__own"]).withColumn("__place", place)
+    return placed.where(F.col("__place") % rows_per_chunk == 0).orderBy("__place").select(*columns)
+
+
+def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def balanced_predicates(columns: Sequence[str], starts: Iterable[Sequence]) -> Iterator[str]:
+    """Predicates between the first keys of chunks, one by one as the starts come; together they cover every row once.
+
+    The first chunk also takes smaller keys and nulls, the last one larger keys, so rows that arrive while the read runs
+    are not lost. Equal starts, of a key that fills several chunks and has no second column, are one chunk.
+    """
+    column = columns[0]
+    # the first start is open, so only the others are bounds
+    bounds = (b for a, b in pairwise(starts) if tuple(a) != tuple(b))
+    low = None
+    for high in bounds:
+        yield f"({_before(columns, high)} or {column} is null)" if low is None else f"({_from(columns, low)} and {_before(columns, high)})"
+        low = high
+    yield "1 = 1" if low is None else _from(columns, low)
+
+
+def _before(columns: Sequence[str], bound: Sequence) -> str:
+    key, value = columns[0], _literal(bound[0])
+    if len(columns) == 1:
+        return f"{key} < {value}"
+    return f"({key} < {value} or ({key} = {value} and {columns[1]} < {_literal(bound[1])}))"
+
+
+def _from(columns: Sequence[str], bound: Sequence) -> str:
+    key, value = columns[0], _literal(bound[0])
+    if len(columns) == 1:
+        return f"{key} >= {value}"
+    return f"({key} > {value} or ({key} = {value} and {columns[1]} >= {_literal(bound[1])}))"
+
+
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"timestamp '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"date '{value.isoformat()}'"
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)

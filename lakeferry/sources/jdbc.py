@@ -6,15 +6,21 @@ text runs inside the database.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from datetime import date, datetime, timedelta
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeferry.operators.chunks import day_predicates, midnight, range_predicates
+from lakeferry.operators.chunks import balanced_predicates, day_predicates, midnight, range_predicates, starts_text
 from lakeferry.spec import TableSpec
 
 FETCH_ROWS = 10_000
+#: Chunks of equal key width are used up to this number of them; keys spread wider are split by their histogram.
+EQUAL_CHUNKS = 10_000
+#: Chunks of one read; larger tables are read in waves.
+MOST_CHUNKS = 100_000
+WAVE_CHUNKS = 10_000
 
 
 def source_column(name: str) -> str:
@@ -83,7 +89,7 @@ def read_incremental(
     if bounds is None and end is None:
         bounds = key_bounds(spark, connection, spec, where)
     if bounds is not None:
-        predicates = range_predicates(source_column(spec.chunk_column), *bounds, spec.chunk_rows, max_tasks)
+        predicates = _key_chunks(spark, connection, spec, bounds, where, max_tasks)
     elif end is not None:
         # the watermark may be an expression over columns that are not in the contract
         predicates = day_predicates(spec.ts_column, start, end, max_tasks)
@@ -123,7 +129,7 @@ def read_full(
         bounds = key_bounds(spark, connection, spec)
         days = day_bounds(spark, connection, spec) if bounds is None else None
     if bounds is not None:
-        predicates = range_predicates(source_column(spec.chunk_column), *bounds, spec.chunk_rows, max_tasks)
+        predicates = _key_chunks(spark, connection, spec, bounds, None, max_tasks)
     elif days is not None:
         predicates = day_predicates(source_column(spec.partition_column or "created_at"), *days, max_tasks)
     else:
@@ -131,6 +137,54 @@ def read_full(
     return read_chunks(spark, connection, sql, predicates)
 
 
+def _key_chunks(
+    spark: SparkSession,
+    connection: Mapping[str, str],
+    spec: TableSpec,
+    bounds: tuple[int, int],
+    where: str | None,
+    max_tasks: int | None,
+) -> list[str]:
+    """Chunks of equal key width, which hold the contract's number of rows at most; of keys that are spread so wide that
+    these would be many and nearly empty, chunks of as many rows by the database's histogram."""
+    if max_tasks or (bounds[1] - bounds[0]) // spec.chunk_rows < EQUAL_CHUNKS:
+        return range_predicates(source_column(spec.chunk_column), *bounds, spec.chunk_rows, max_tasks)
+    predicates: list[str] = []
+    for wave in batched(key_chunks(spark, connection, spec, where), WAVE_CHUNKS):
+        predicates += wave
+        if len(predicates) > MOST_CHUNKS:
+            raise ValueError(f"{spec.name} has over {MOST_CHUNKS} chunks: read it in waves, or give max_tasks")
+    return predicates
+
+
+def chunk_key(spec: TableSpec) -> list[str]:
+    """Columns that order a table for its chunks: the chunk column, and the key if that is another."""
+    return [source_column(c) for c in dict.fromkeys((spec.chunk_column, spec.key)) if c in spec.declared]
+
+
+def key_chunks(spark: SparkSession, connection: Mapping[str, str], spec: TableSpec, where: str | None = None) -> Iterator[str]:
+    """Predicates for chunks of the contract's size whatever the keys look like, one by one as the database gives the
+    bounds. A table without a chunk column is one chunk."""
+    columns = chunk_key(spec)
+    if spec.chunk_column not in spec.declared:
+        return iter(["1 = 1"])
+    sql = starts_text(columns, spec.source_name, spec.chunk_rows, where)
+    return balanced_predicates(columns, read_query(spark, connection, sql).toLocalIterator())
+
+
+def read_waves(
+    spark: SparkSession, connection: Mapping[str, str], spec: TableSpec, start: date | None = None, chunks: int = WAVE_CHUNKS
+) -> Iterator[DataFrame]:
+    """A table, or its rows changed since ``start``, as reads of up to ``chunks`` chunks of the contract's size each.
+
+    The driver holds the chunks of one wave; ``load_run`` takes the waves as parts of a run.
+    """
+    where = None if start is None else since(spec, start)
+    sql = select_text(spec, where)
+    for wave in batched(key_chunks(spark, connection, spec, where), chunks):
+        yield read_chunks(spark, connection, sql, wave)
+
+
 WHOLE_NUMBERS = ("integer", "bigint", "smallint")
 
 
