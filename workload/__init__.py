@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with the SQL that must give the same rows."""
 
-from workload import documents, guards, replication, reports, tables
+from workload import documents, guards, replication, reports, runs, tables
 
-MODULES = (replication, documents, tables, guards, reports)
+MODULES = (replication, documents, tables, guards, reports, runs)
 
 
 def queries():
