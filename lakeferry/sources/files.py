@@ -15,12 +15,8 @@ from lakeferry.spec import TableSpec
 
 BAD_ROW = "_bad_row"
 CORRUPT = "_corrupt"
-#: Files with quoted newlines up to this size are read by one task each.
-UNSPLIT_BYTES = 128 << 20
 #: Bad rows that a load of an export may have.
 MAX_BAD_ROWS = 10
-#: More lines than this in one row of a split CSV file fail the load.
-MAX_RECORD_LINES = 10_000
 # a line that ends in an open quoted value: only quotes at the start of a value open one
 _LEFT_OPEN = r'^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+$'
 # what a quoted empty text is read as, to tell it from a missing value
@@ -33,7 +29,6 @@ def read_csv(
     schema: T.StructType,
     header_rows: int = 0,
     quoted_newlines: bool = True,
-    max_file_bytes: int = UNSPLIT_BYTES,
 ) -> DataFrame:
     """Rows of a CSV export in the given schema, plus ``_bad_row``.
 
@@ -41,30 +36,22 @@ def read_csv(
     one of its values does not fit its column. Columns are read as text and cast by
     the plan, so the width of a row never counts as a fault.
 
-    Large files are split. Where values may hold newlines, files over ``max_file_bytes``
-    are read line by line and the lines of a row are joined again: a line starts a row if
-    no quoted value is open before it. Smaller files are one task each. Quotes inside an
-    unquoted value are characters. A file that ends in an open quoted value fails the load,
-    whatever its size, since the rows after the quote would be lost.
+    Files are read in splits, whatever their size. Where values may hold newlines, files are
+    read line by line and the lines of a row are joined again: a line starts a row if no
+    quoted value is open before it. Quotes inside an unquoted value are characters, empty
+    lines are no rows, lines of blanks are. A file that ends in an open quoted value fails
+    the load, since the rows after the quote would be lost.
     """
     if header_rows not in (0, 1):
         raise ValueError("a CSV export has no or one header row")
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    layout = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": _EMPTY}
     if quoted_newlines:
         _refuse_open_ends(spark, path)
-    layout = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": _EMPTY}
-    if quoted_newlines and _largest_file(spark, path) > max_file_bytes:
         ddl = ", ".join(f"{quoted(f.name)} string" for f in text.fields)
         raw = _csv_records(spark, path, header_rows).select(F.from_csv("record", ddl, layout).alias("r")).select("r.*")
     else:
-        raw = (
-            spark.read.schema(text)
-            .options(**layout)
-            .option("header", header_rows == 1)
-            .option("enforceSchema", True)
-            .option("multiLine", quoted_newlines)
-            .csv(path)
-        )
+        raw = spark.read.schema(text).options(**layout).option("header", header_rows == 1).option("enforceSchema", True).csv(path)
     values = {f.name: _value(F.col(quoted(f.name)), f.dataType) for f in schema.fields}
     faults = [
         (F.col(quoted(f.name)) != _EMPTY) & values[f.name].isNull()
@@ -75,11 +62,6 @@ def read_csv(
     return raw.select(*[v.alias(n) for n, v in values.items()], bad.alias(BAD_ROW))
 
 
-def _largest_file(spark: SparkSession, path: str) -> int:
-    # only the file listing is read, not the content
-    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
-
-
 def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with ``reset`` and ``swaps``: what a line does to the state (1 inside a quoted value, else 0).
 
@@ -125,7 +107,11 @@ def _csv_states(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _refuse_open_ends(spark: SparkSession, path: str) -> None:
-    splits = _csv_states(_csv_lines(spark, path))[1]
+    lines = _csv_lines(spark, path)
+    # no line leaves a value open that none before it has opened: nothing to count
+    if lines.where("reset = 1 or swap = 1").isEmpty():
+        return
+    splits = _csv_states(lines)[1]
     ends = splits.groupBy("file").agg(F.max_by("after", "block").alias("after")).where("after = 1")
     if found := ends.select("file").first():
         raise ValueError(f"{found['file']} ends in an open quoted value")
@@ -140,21 +126,22 @@ def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
     counted = _csv_states(_csv_lines(spark, path))[0]
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("file", "block").orderBy("line")
-    started = counted.withColumn(
-        "start", F.last(F.when(F.col("odd") == 0, F.col("line")), ignorenulls=True).over(inside)
-    ).withColumn("first", (F.row_number().over(inside) == 1) & (F.col("block") == 0))
+    # lines are in order within a split, and splits in the order of their blocks
+    own_start = F.when(F.col("odd") == 0, F.struct("block", "line"))
+    started = counted.withColumn("start", F.last(own_start, ignorenulls=True).over(inside))
     ends = started.groupBy("file", "block").agg(F.max("start").alias("last"))
     ends = ends.select("file", "block", F.last("last", ignorenulls=True).over(before).alias("carried"))
     whole = started.join(ends, ["file", "block"]).withColumn("start", F.coalesce("start", "carried"))
     joined = whole.groupBy("file", "start").agg(
-        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"), F.max("first").alias("first")
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines")
     )
     record = F.regexp_replace(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), r"\r$", "")
-    record = F.when(F.size("lines") <= MAX_RECORD_LINES, record).otherwise(
-        F.raise_error(F.concat(F.lit("a row of too many lines: "), F.substring(record, 1, 200)))
-    )
-    rows = joined.where("not first") if header_rows else joined
-    return rows.select(record.alias("record")).where(F.trim("record") != "")
+    # a header is the first row that is not empty; empty lines are no rows, lines of blanks are
+    rows = joined.select("file", "start", record.alias("record")).where("record <> ''")
+    if header_rows:
+        first = rows.groupBy("file").agg(F.min("start").alias("head"))
+        rows = rows.join(first, "file").where("start > head")
+    return rows.select("record")
 
 
 def _value(column: Column, dtype: T.DataType) -> Column:

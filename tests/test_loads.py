@@ -1,6 +1,7 @@
 """Loads that must not lose rows: limits of bad rows, promotion, reruns, growth, other session zones."""
 
 import glob
+import random
 from datetime import date, datetime
 
 import pytest
@@ -140,12 +141,12 @@ def test_rows_that_cross_splits(spark, tmp_path, header):
     for name in "ab":
         lines = [f'{i},"{name} line\nsecond ""{i}"" line\n\n{"x" * (i % 40)}",{i * 2}' if i % 3 else f"{i},plain,{i * 2}" for i in range(300)]
         (tmp_path / f"{name}.csv").write_text("id,t,n\n" * header + "\n".join(lines) + ("\n" if name == "a" else ""))
-    whole = files.read_csv(spark, str(tmp_path), schema, header)
+    whole = rows(files.read_csv(spark, str(tmp_path), schema, header))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        split = files.read_csv(spark, str(tmp_path), schema, header, max_file_bytes=1)
-        assert rows(split) == rows(whole) and split.count() == 600
+        split = files.read_csv(spark, str(tmp_path), schema, header)
+        assert rows(split) == whole and split.count() == 600
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -232,18 +233,53 @@ def test_outcome_of_the_index_fetch(spark):
             require_index(spark.createDataFrame([(bad,)], "html string"), tuesday)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_rows_do_not_depend_on_the_size_of_splits(spark, tmp_path, seed):
+    """Against a reader that goes through a file character by character."""
+    rng = random.Random(seed)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b", "c")])
+    values = ["", " ", "x", "x y", 'p"q', "é", "\t", '"a"', '"two\nlines"', '"say ""x"""', '""', '"\n\n"', '" "']
+    read = {"": None, '"a"': "a", '"two\nlines"': "two\nlines", '"say ""x"""': 'say "x"', '""': "", '"\n\n"': "\n\n", '" "': " "}
+    want = {0: [], 1: []}
+    for n in range(12):
+        lines = [[rng.choice(values) for _ in range(rng.randint(1, 4))] for _ in range(40)] + [[""], ["   "], ["\t"], [" ", " "]]
+        rng.shuffle(lines)
+        end = rng.choice(["\n", "\r\n"])
+        (tmp_path / f"{n}.csv").write_bytes((end.join(map(",".join, lines)) + rng.choice(["", end])).encode())
+        found = [tuple(([read.get(v, v) for v in line] + [None, None])[:3]) for line in lines if line != [""]]
+        for header in (0, 1):
+            want[header] += [(*r, False) for r in found[header:]]
+    try:
+        for size in (1 << 20, 150):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            for header in (0, 1):
+                assert rows(files.read_csv(spark, str(tmp_path), schema, header)) == sorted(want[header], key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_row_of_very_many_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1,"' + "line\n" * 12_000 + '"\n2,b\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("t", T.StringType())])
+    got = files.read_csv(spark, str(tmp_path), schema).select("id", F.length("t")).collect()
+    assert sorted(map(tuple, got)) == [(1, 60_000), (2, 1)]
+
+
 def test_stray_quotes_lose_no_rows(spark, tmp_path):
     rows = ['1,5" pipe', '2,"two\nlines, ""quoted"""', "3,plain", '4,3" and 4" pipes, say', '5,"', '6"', "7,end", '8,"a"', '9,x"y']
     file = tmp_path / "pipes.csv"
     file.write_text("\n".join(rows * 40) + "\n")
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())])
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    read = []
     try:
-        read = [sorted(map(tuple, files.read_csv(spark, str(file), schema, max_file_bytes=n).collect()), key=str) for n in (1 << 20, 0)]
+        for size in (1 << 20, 200):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            read.append(sorted(map(tuple, files.read_csv(spark, str(file), schema).collect()), key=str))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert read[0] == read[1] and len(read[0]) == 40 * 8 and ("1", '5" pipe', False) in read[0]
     (tmp_path / "open.csv").write_text('1,a\n2,"open\n3,b\n')
-    for n in (1 << 20, 0):
-        with pytest.raises(ValueError, match="open quoted value"):
-            files.read_csv(spark, str(tmp_path / "open.csv"), schema, max_file_bytes=n)
+    with pytest.raises(ValueError, match="open quoted value"):
+        files.read_csv(spark, str(tmp_path / "open.csv"), schema)
