@@ -39,8 +39,8 @@ def document_at(document: Column, path: str) -> Column:
 
     Keys are in alphabetical order and numbers in their shortest form.
     """
-    text = F.to_json(F.try_variant_get(document, path, "variant"))
-    return F.when(text != "null", text)
+    value = document if path == "$" else F.try_variant_get(document, path, "variant")
+    return F.when(~F.is_variant_null(value), F.to_json(value))
 
 
 def is_nested(document: Column) -> Column:
@@ -194,11 +194,21 @@ def project_json(
                 leaves.add(path)
     readers = {"document": document_at, "texts": texts_at, "text": text_at}
 
+    # the text of an object or array fits none of the other kinds, so a single path needs no check
+    reader_of = {f.name: readers.get(f.kind, any_text if len(f.paths) == 1 else text_at) for f in fields}
+    read: dict = {}
+    for f in fields:
+        for path in f.paths:
+            read.setdefault(reader_of[f.name], {}).setdefault(path, len(read.get(reader_of[f.name], {})))
+
+    def all_read(reader, paths: dict[str, int]) -> Column:
+        """What a reader makes of all its paths, as one array: one expression instead of one for each path."""
+        parts = [document if path == "$" else leaves.value(path) for path in paths]
+        return F.transform(F.array(*parts), lambda part: reader(part, "$")).alias(f"{_PARSED}_{reader.__name__}")
+
     def value(field: JsonField, path: str) -> Column:
-        part = document if path == "$" else leaves.value(path)
-        # the text of an object or array fits none of the other kinds, so a single path needs no check
-        reader = readers.get(field.kind, any_text if len(field.paths) == 1 else text_at)
-        return reader(part, "$")
+        reader = reader_of[field.name]
+        return F.get(F.col(f"{_PARSED}_{reader.__name__}"), F.lit(read[reader][path]))
 
     found = [F.coalesce(*[value(f, p) for p in f.paths]).alias(f"{_PARSED}_{f.name}") for f in fields]
     values = {f.name: F.col(f"{_PARSED}_{f.name}") for f in fields}
@@ -206,7 +216,8 @@ def project_json(
     parsed = df.withColumn(_PARSED, F.try_parse_json(F.col(column)))
     fetched = parsed.select(*kept, document, *leaves.structs(document))
     unread = F.when(F.col(column).isNotNull() & document.isNull(), F.lit(column)).alias(f"{_PARSED}_unread")
-    rows = fetched.select(*kept, *found, unread)
+    texts = fetched.select(*kept, unread, *[all_read(reader, paths) for reader, paths in read.items()])
+    rows = texts.select(*kept, *found, F.col(f"{_PARSED}_unread"))
     if rejects is None:
         return rows.select(*kept, *added)
     checked = [f for f in fields if f.kind in _CHECKED]
