@@ -14,6 +14,8 @@ from lakeferry.functions.times import instant
 from lakeferry.spec import TableSpec
 
 BAD_ROW = "_bad_row"
+#: Files with quoted newlines up to this size are read by one task each.
+UNSPLIT_BYTES = 128 << 20
 CORRUPT = "_corrupt"
 #: Bad rows that a load of an export may have.
 MAX_BAD_ROWS = 10
@@ -29,6 +31,7 @@ def read_csv(
     schema: T.StructType,
     header_rows: int = 0,
     quoted_newlines: bool = True,
+    max_file_bytes: int = UNSPLIT_BYTES,
 ) -> DataFrame:
     """Rows of a CSV export in the given schema, plus ``_bad_row``.
 
@@ -36,22 +39,29 @@ def read_csv(
     one of its values does not fit its column. Columns are read as text and cast by
     the plan, so the width of a row never counts as a fault.
 
-    Files are read in splits, whatever their size. Where values may hold newlines, files are
-    read line by line and the lines of a row are joined again: a line starts a row if no
-    quoted value is open before it. Quotes inside an unquoted value are characters, empty
-    lines are no rows, lines of blanks are. A file that ends in an open quoted value fails
-    the load, since the rows after the quote would be lost.
+    Large files are split. Where values may hold newlines, files over ``max_file_bytes``
+    are read line by line and the lines of a row are joined again: a line starts a row if
+    no quoted value is open before it. Smaller files are one task each; both ways give the
+    same rows. Quotes inside an unquoted value are characters, empty lines are no rows, lines
+    of blanks are. A file that ends in an open quoted value fails the load, whatever its
+    size, since the rows after the quote would be lost.
     """
     if header_rows not in (0, 1):
         raise ValueError("a CSV export has no or one header row")
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     layout = {"mode": "PERMISSIVE", "escape": '"', "emptyValue": _EMPTY}
-    if quoted_newlines:
-        _refuse_open_ends(spark, path)
+    if quoted_newlines and _by_lines(spark, path, max_file_bytes):
         ddl = ", ".join(f"{quoted(f.name)} string" for f in text.fields)
         raw = _csv_records(spark, path, header_rows).select(F.from_csv("record", ddl, layout).alias("r")).select("r.*")
     else:
-        raw = spark.read.schema(text).options(**layout).option("header", header_rows == 1).option("enforceSchema", True).csv(path)
+        raw = (
+            spark.read.schema(text)
+            .options(**layout)
+            .option("header", header_rows == 1)
+            .option("enforceSchema", True)
+            .option("multiLine", quoted_newlines)
+            .csv(path)
+        )
     values = {f.name: _value(F.col(quoted(f.name)), f.dataType) for f in schema.fields}
     faults = [
         (F.col(quoted(f.name)) != _EMPTY) & values[f.name].isNull()
@@ -70,6 +80,7 @@ def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
@@ -80,6 +91,7 @@ def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(
         "file",
         "block",
+        "size",
         "line",
         "value",
         F.when(F.col("outside") == F.col("inside"), F.col("outside")).alias("reset"),
@@ -87,34 +99,51 @@ def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _csv_states(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lines with the state before them, counted within their split, and splits with the state before and after them."""
-    inside = Window.partitionBy("file", "block").orderBy("line")
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+def _csv_splits(lines: DataFrame) -> DataFrame:
+    """Splits with the state before and after them: one small row each, whose lines that change it are folded in order."""
+    change = F.when(F.col("reset").isNotNull() | (F.col("swap") == 1), F.struct("line", "reset", "swap"))
+    none = F.struct(F.lit(None).cast("int").alias("set"), F.lit(0).alias("swaps"))
+
+    def step(state: Column, x: Column) -> Column:
+        swaps = state["swaps"] + x["swap"]
+        return F.struct(F.coalesce((x["reset"] + swaps) % 2, state["set"]).alias("set"), swaps.alias("swaps"))
+
     # the state after a line is the last reset, turned around by the swaps since
-    counted = lines.withColumn("swaps", F.sum("swap").over(upto))
-    counted = counted.withColumn("set", F.last(F.when(F.col("reset").isNotNull(), (F.col("reset") + F.col("swaps")) % 2), ignorenulls=True).over(upto))
-    splits = counted.groupBy("file", "block").agg(F.max_by("set", "line").alias("set"), F.sum("swap").alias("swaps"))
+    splits = lines.groupBy("file", "block").agg(
+        F.aggregate(F.array_sort(F.collect_list(change)), none, step).alias("x"),
+        F.max("size").alias("size"),
+        F.bool_or(F.endswith("value", F.lit("\r"))).alias("returns"),
+    )
+    splits = splits.select("file", "block", "size", "returns", "x.*")
     every = Window.partitionBy("file").orderBy("block")
     ahead = every.rowsBetween(Window.unboundedPreceding, 0)
     splits = splits.withColumn("all", F.sum("swaps").over(ahead))
     fixed = F.last(F.when(F.col("set").isNotNull(), (F.col("set") + F.col("all") - F.col("swaps")) % 2), ignorenulls=True).over(ahead)
     splits = splits.withColumn("after", (F.coalesce(fixed, F.lit(0)) + F.col("all")) % 2)
-    splits = splits.select("file", "block", "after", F.coalesce(F.lag("after").over(every), F.lit(0)).alias("ahead"))
-    known = counted.join(splits, ["file", "block"])
+    return splits.withColumn("ahead", F.coalesce(F.lag("after").over(every), F.lit(0)))
+
+
+def _csv_states(lines: DataFrame) -> DataFrame:
+    """Lines with the state before them, counted within their split."""
+    inside = Window.partitionBy("file", "block").orderBy("line")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    counted = lines.withColumn("swaps", F.sum("swap").over(upto))
+    counted = counted.withColumn("set", F.last(F.when(F.col("reset").isNotNull(), (F.col("reset") + F.col("swaps")) % 2), ignorenulls=True).over(upto))
+    known = counted.join(_csv_splits(lines).select("file", "block", "ahead"), ["file", "block"])
     after = (F.coalesce("set", "ahead") + F.col("swaps")) % 2
-    return known.withColumn("odd", F.coalesce(F.lag(after).over(inside), F.col("ahead"))), splits
+    return known.withColumn("odd", F.coalesce(F.lag(after).over(inside), F.col("ahead")))
 
 
-def _refuse_open_ends(spark: SparkSession, path: str) -> None:
-    lines = _csv_lines(spark, path)
-    # no line leaves a value open that none before it has opened: nothing to count
-    if lines.where("reset = 1 or swap = 1").isEmpty():
-        return
-    splits = _csv_states(lines)[1]
-    ends = splits.groupBy("file").agg(F.max_by("after", "block").alias("after")).where("after = 1")
-    if found := ends.select("file").first():
-        raise ValueError(f"{found['file']} ends in an open quoted value")
+def _by_lines(spark: SparkSession, path: str, max_file_bytes: int) -> bool:
+    """Whether files are read line by line: a large one, or carriage returns, of which the parser of whole files would
+    have to guess whether they end lines. Fails at a file that ends in an open value."""
+    files = _csv_splits(_csv_lines(spark, path)).groupBy("file").agg(
+        F.max_by("after", "block").alias("after"), F.max("size").alias("size"), F.bool_or("returns").alias("returns")
+    )
+    found = files.agg(F.min(F.when(F.col("after") == 1, F.col("file"))), F.max("size"), F.bool_or("returns")).first()
+    if found[0]:
+        raise ValueError(f"{found[0]} ends in an open quoted value")
+    return (found[1] or 0) > max_file_bytes or bool(found[2])
 
 
 def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
@@ -123,7 +152,7 @@ def _csv_records(spark: SparkSession, path: str, header_rows: int) -> DataFrame:
     Lines are counted within their split, and what crosses splits is one small row for each of them: the state before
     it and the last row start before it. Only rows of several lines are put together.
     """
-    counted = _csv_states(_csv_lines(spark, path))[0]
+    counted = _csv_states(_csv_lines(spark, path))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("file", "block").orderBy("line")
     # lines are in order within a split, and splits in the order of their blocks

@@ -145,7 +145,7 @@ def test_rows_that_cross_splits(spark, tmp_path, header):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        split = files.read_csv(spark, str(tmp_path), schema, header)
+        split = files.read_csv(spark, str(tmp_path), schema, header, max_file_bytes=1)
         assert rows(split) == whole and split.count() == 600
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -244,17 +244,18 @@ def test_rows_do_not_depend_on_the_size_of_splits(spark, tmp_path, seed):
     for n in range(12):
         lines = [[rng.choice(values) for _ in range(rng.randint(1, 4))] for _ in range(40)] + [[""], ["   "], ["\t"], [" ", " "]]
         rng.shuffle(lines)
-        end = rng.choice(["\n", "\r\n"])
+        end = "\n" if seed % 2 else rng.choice(["\n", "\r\n"])
         (tmp_path / f"{n}.csv").write_bytes((end.join(map(",".join, lines)) + rng.choice(["", end])).encode())
         found = [tuple(([read.get(v, v) for v in line] + [None, None])[:3]) for line in lines if line != [""]]
         for header in (0, 1):
             want[header] += [(*r, False) for r in found[header:]]
     try:
-        for size in (1 << 20, 150):
+        for size, file_bytes in ((1 << 20, files.UNSPLIT_BYTES), (1 << 20, 0), (150, 0)):
             spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
             spark.conf.set("spark.sql.files.openCostInBytes", "1")
             for header in (0, 1):
-                assert rows(files.read_csv(spark, str(tmp_path), schema, header)) == sorted(want[header], key=str)
+                got = files.read_csv(spark, str(tmp_path), schema, header, max_file_bytes=file_bytes)
+                assert rows(got) == sorted(want[header], key=str)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -263,8 +264,9 @@ def test_rows_do_not_depend_on_the_size_of_splits(spark, tmp_path, seed):
 def test_a_row_of_very_many_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text('1,"' + "line\n" * 12_000 + '"\n2,b\n')
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("t", T.StringType())])
-    got = files.read_csv(spark, str(tmp_path), schema).select("id", F.length("t")).collect()
-    assert sorted(map(tuple, got)) == [(1, 60_000), (2, 1)]
+    for size in (files.UNSPLIT_BYTES, 0):
+        got = files.read_csv(spark, str(tmp_path), schema, max_file_bytes=size).select("id", F.length("t")).collect()
+        assert sorted(map(tuple, got)) == [(1, 60_000), (2, 1)]
 
 
 def test_stray_quotes_lose_no_rows(spark, tmp_path):
@@ -276,10 +278,12 @@ def test_stray_quotes_lose_no_rows(spark, tmp_path):
     try:
         for size in (1 << 20, 200):
             spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
-            read.append(sorted(map(tuple, files.read_csv(spark, str(file), schema).collect()), key=str))
+            for n in (1 << 20, 0):
+                read.append(sorted(map(tuple, files.read_csv(spark, str(file), schema, max_file_bytes=n).collect()), key=str))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert read[0] == read[1] and len(read[0]) == 40 * 8 and ("1", '5" pipe', False) in read[0]
+    assert all(r == read[0] for r in read) and len(read[0]) == 40 * 8 and ("1", '5" pipe', False) in read[0]
     (tmp_path / "open.csv").write_text('1,a\n2,"open\n3,b\n')
-    with pytest.raises(ValueError, match="open quoted value"):
-        files.read_csv(spark, str(tmp_path / "open.csv"), schema)
+    for n in (1 << 20, 0):
+        with pytest.raises(ValueError, match="open quoted value"):
+            files.read_csv(spark, str(tmp_path / "open.csv"), schema, max_file_bytes=n)
