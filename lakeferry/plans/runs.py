@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeferry.functions.json_documents import JsonField
+from lakeferry.operators.guards import require_passed, row_count_check, table_counts
 from lakeferry.operators.latest import latest_per_key
+from lakeferry.plans.backfill import require_counted, target_layer
 from lakeferry.plans.replicate import landed, with_documents
 from lakeferry.sinks.ledger import LOAD, NO_DAY, Ledger, commit, ledger_of, load_rows, merge_rows, replace_days, source_of, write_load
 from lakeferry.sinks.tables import DAY, require_value, with_day
@@ -57,6 +59,27 @@ def load_run_day(spark: SparkSession, source: DataFrame, spec: TableSpec, run_ts
     return replace_days(spark, require_value(rows, DAY, F.lit(day)), view, [day.isoformat()], run_ts)
 
 
+def promote_run(
+    spark: SparkSession, rows: DataFrame, spec: TableSpec, source_counts: DataFrame, run_ts: str, root: str, view: str, tolerance: float = 0.001
+) -> Ledger:
+    """Write a backfill as a load that is not seen yet, check its row count and let it replace the table.
+
+    Nothing is copied, and when the check fails readers keep what they saw. ``rows`` are in landed types.
+    """
+    before = ledger_of(spark, view) or Ledger(root)
+    column = "created_at" if target_layer(spec) == "clean" else spec.partition_column if spec.ts_column else None
+    written = write_load(spark, dated(rows, column if column in rows.columns else None), before, run_ts)
+    if not spec.ignore_sanity_check:
+        expected = source_counts.filter(source_counts["table_name"] == spec.name)
+        require_counted(expected, spec)
+        own = written.every_row(spark).where(F.col(LOAD) == len(written.runs))
+        require_passed(row_count_check(expected, table_counts({spec.name: own}), tolerance))
+    gone = tuple(range(1, before.next_load))
+    written = replace(written, hidden=gone, days={}, files=(), grown=before.grown or bool(before.runs))
+    commit(spark, view, written)
+    return written
+
+
 def merge_run(spark: SparkSession, source: DataFrame, view: str, keys: Sequence[str], run_ts: str, day_column: str | None = None) -> int:
     """Upsert rows into a table; only files that hold one of their keys are written again. Returns how many these are."""
     return merge_rows(spark, source, view, keys, run_ts, lambda df: dated(df, day_column))

@@ -33,7 +33,8 @@ class Ledger:
 
     ``runs`` has the run of each load by its number from 1 on; ``hidden`` are loads that are not seen at all, ``days``
     gives for a day the first load whose rows of that day are seen, and ``files`` are single files that are not seen.
-    ``source`` is the ledger of the table that this one was refined from.
+    ``source`` is the ledger of the table that this one was refined from. Copies are ``frozen``: they share the folder of
+    the table and take no loads.
     """
 
     root: str
@@ -43,6 +44,7 @@ class Ledger:
     files: tuple[str, ...] = ()
     grown: bool = False
     source: dict | None = None
+    frozen: bool = False
 
     @property
     def data(self) -> str:
@@ -117,7 +119,7 @@ def commit(spark: SparkSession, name: str, ledger: Ledger) -> None:
 
 def copy_table(spark: SparkSession, name: str, copy: str) -> None:
     """Let readers of ``copy`` see what ``name`` has now; no row is read or written, and later changes do not show."""
-    commit(spark, copy, _known(spark, name))
+    commit(spark, copy, replace(_known(spark, name), frozen=True))
 
 
 def _known(spark: SparkSession, name: str) -> Ledger:
@@ -132,11 +134,14 @@ def write_load(spark: SparkSession, df: DataFrame, ledger: Ledger, run: str, clu
 
     A load without rows leaves a file that has the columns.
     """
+    if ledger.frozen:
+        raise ValueError(f"a copy of the table at {ledger.root} takes no loads")
     path = f"{ledger.data}/{LOAD}={ledger.next_load}"
     seen = Observation()
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     laid = clustered(rows, [DAY], cluster_by) if cluster_by else balanced(rows, [DAY])
-    laid.write.mode("overwrite").partitionBy(DAY).parquet(path)
+    # static, whatever the session says: what a failed load left in the folder goes
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
     if not observed(seen, "rows"):
         df.drop(DAY).limit(0).write.mode("overwrite").parquet(f"{path}/{DAY}={_DEFAULT_PARTITION}")
     return replace(ledger, runs=(*ledger.runs, run))

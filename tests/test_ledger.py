@@ -8,8 +8,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakeferry.functions.json_documents import JsonField
+from lakeferry.operators.guards import CheckFailed, table_counts
 from lakeferry.plans import runs
-from lakeferry.plans.replicate import refined
+from lakeferry.plans.replicate import landed, refined
 from lakeferry.sinks import ledger
 from lakeferry.spec import TableSpec
 
@@ -175,6 +176,33 @@ def test_merge_rewrites_hit_files_alone(spark, tmp_path, view):
     assert spark.table(view).where("extra = 1").count() == 4 and spark.table(view).count() == 602
 
 
+def test_a_promoted_backfill_is_not_copied(spark, load, view, tmp_path):
+    load(source(spark, range(5)), RUN_1)
+    full = landed(source(spark, range(30), "full"), SPEC, RUN_2)
+    root = str(tmp_path / "raw")
+    with pytest.raises(CheckFailed):
+        runs.promote_run(spark, full.where("id < 9"), SPEC, table_counts({"t": full}), RUN_2, root, view)
+    assert len(notes(spark, view)) == 5
+    with pytest.raises(ValueError, match="no source count"):
+        runs.promote_run(spark, full, SPEC, table_counts({"u": full}), RUN_2, root, view)
+    before = files_of(tmp_path / "raw")
+    runs.promote_run(spark, full, SPEC, table_counts({"t": full}), RUN_2, root, view)
+    assert notes(spark, view) == [(i, "full") for i in range(30)]
+    # the files of the load that failed the check are replaced, those of older loads stay
+    kept = {f for f in before if f.startswith("_load=1/")}
+    assert kept <= files_of(tmp_path / "raw") and visible_files(spark, view) == files_of(tmp_path / "raw") - kept
+    load(source(spark, [99], "later"), RUN_3)
+    assert len(notes(spark, view)) == 31
+
+
+def test_counts_read_no_columns(spark, load, view):
+    load(source(spark, range(50)), RUN_1)
+    counts = table_counts({"t": spark.table(view)})
+    assert [r["num_rows"] for r in counts.collect()] == [50]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
 def test_copies_move_no_rows(spark, load, view, tmp_path):
     load(source(spark, range(5)), RUN_1)
     before = files_of(tmp_path / "raw")
@@ -182,6 +210,8 @@ def test_copies_move_no_rows(spark, load, view, tmp_path):
     assert files_of(tmp_path / "raw") == before
     load(source(spark, [9]), RUN_2)
     assert spark.table(view).count() == 6 and spark.table(view + "_copy").count() == 5
+    with pytest.raises(ValueError, match="takes no loads"):
+        runs.load_run(spark, source(spark, [1]), SPEC, RUN_3, str(tmp_path / "raw"), view + "_copy")
     with pytest.raises(ValueError, match="no table"):
         ledger.copy_table(spark, view + "_x", view + "_y")
     spark.range(3).write.saveAsTable(view + "_plain")
