@@ -26,7 +26,7 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("item_ids").cast("bigint").alias("n_items"),
+        "n_items",
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         "contaminated",
     )

@@ -1,4 +1,10 @@
-"""Benchmark decontamination with suffix arrays over shards of the documents."""
+"""Benchmark decontamination with suffix arrays over shards of the documents.
+
+The suffixes of a shard are ranked together with the suffixes of the items by prefix doubling, so that equal ranks mean
+equal words and places can be compared without their words. Every distinct window of the items is searched in the sorted
+ranks of the shard; what a place has in common with the items is then the longest of its two neighbours among the sorted
+item suffixes. Work and output follow the number of places, however often a window repeats in either text.
+"""
 
 from __future__ import annotations
 
@@ -15,19 +21,17 @@ WINDOW_WORDS = 10
 #: Bytes of document text in one shard, and of item text in one block of test suffixes.
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
+#: Bytes of item text that are sent to the tasks for one scan of the documents.
+PASS_BYTES = 64 << 20
 
 #: Other bytes than digits, letters and those of non-ASCII characters separate words; A-Z becomes a-z.
 _WORDS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20
     for c in range(256)
 )
-_FOUND = "struct<n_words:bigint,spans:array<struct<start:bigint,length:bigint,item_id:bigint>>>"
-_ARROW = pa.struct(
-    [
-        ("n_words", pa.int64()),
-        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item_id", pa.int64())]))),
-    ]
-)
+_SPAN = "start:bigint,length:bigint,item_id:bigint,match_start:bigint,match_length:bigint"
+_FOUND = f"struct<n_words:bigint,spans:array<struct<{_SPAN}>>,item_ids:array<bigint>>"
+_SPAN_FIELDS = ("start", "length", "item_id", "match_start", "match_length")
 
 
 def words(text: bytes) -> list[bytes]:
@@ -35,133 +39,225 @@ def words(text: bytes) -> list[bytes]:
 
 
 class TestSuffixes:
-    """Every suffix of the items of one block, as numbers of the words that occur in the block."""
+    """The items of one block as numbers of the words that occur in the block; every item ends in a word of its own.
+
+    ``places`` has for each length of a window where such windows of the items begin, and ``owners`` the item of each.
+    """
 
     def __init__(self, items: list[tuple[int | None, bytes]], window: int):
         self.window = window
         self.numbers: dict[bytes, int] = {}
+        self.ids: list[int | None] = []
+        split = [(item_id, own) for item_id, text in items if (own := words(text))]
         tokens: list[int] = []
-        starts, ends, needs, owners = [], [], [], []
-        for item_id, text in items:
-            own = [self.numbers.setdefault(w, len(self.numbers)) for w in words(text)]
-            if not own or item_id is None:
-                continue
-            need = min(window, len(own))
-            end = len(tokens) + len(own)
-            for k in range(len(own) - need + 1):
-                starts.append(len(tokens) + k)
-                ends.append(end)
-                needs.append(need)
-                owners.append(item_id)
-            tokens += [*own, -1]
-        self.tokens = np.array(tokens + [-1] * window, np.int32)
-        self.starts, self.ends = np.array(starts, np.int64), np.array(ends, np.int64)
-        self.needs, self.owners = np.array(needs, np.int64), np.array(owners, np.int64)
-        self.shortest = int(self.needs.min()) if starts else 0
-        self.longest = int((self.ends - self.starts).max()) if starts else 0
-
-
-class SuffixArray:
-    """Suffixes of the parts of a shard in which every word occurs in the block.
-
-    No match contains another word, so such words only separate parts; parts shorter than the shortest window hold no
-    match and are left out. Suffixes are sorted by prefix doubling up to the longest test suffix.
+        places: dict[int, list[np.ndarray]] = {}
+        owners: dict[int, list[np.ndarray]] = {}
+        self.longest = max((len(own) for _, own in split), default=0)
+        for k, (item_id, own) in enumerate(split):
+            size = min(window, len(own))
+            begins = len(tokens) + np.arange(len(own) - size + 1)
+            places.setdefault(size, []).append(begins)
+            owners.setdefault(size, []).append(np.full(len(begins), k))
+            tokens += [self.numbers.setdefault(w, len(self.numbers)) for w in own]
+            tokens.append(-1)
+            self.ids.append(item_id)
+        self.tokens = np.array(tokens, np.int64)
+        self.places = {n: np.concatenate(p) for n, p in places.items()}
+        self.owners = {n: np.concatenate(o) for n, o in owners.items()}
+        self.shortest = min(self.places, default=0)
+
+
+class Shard:
+    """The words of some texts one after the other, each text followed by a place of its own."""
+
+    def __init__(self, texts: list[bytes]):
+        split = [words(t) for t in texts]
+        self.sizes = np.array([len(s) for s in split], np.int64)
+        self.begins = np.concatenate(([0], np.cumsum(self.sizes + 1)))
+        self.words = split
+
+    def numbers(self, known: dict[bytes, int]) -> np.ndarray:
+        """Numbers of all words; -1 for words that are not known and for the ends of texts."""
+        get = known.get
+        every = (n for own in self.words for n in (*(get(w, -1) for w in own), -1))
+        return np.fromiter(every, np.int64, count=int(self.begins[-1]))
+
+    def text_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begins, places, side="right") - 1
+
+
+class SuffixRanks:
+    """Ranks of all suffixes of the items and of the parts of a shard in which every word occurs in the items.
+
+    No match contains another word, so such words only separate parts; parts shorter than the shortest window are left
+    out. ``levels[k]`` ranks the suffixes by their first 2^k words. ``origin`` has the place in the shard.
     """
 
-    def __init__(self, numbers: np.ndarray, shortest: int, longest: int, window: int):
+    def __init__(self, numbers: np.ndarray, tests: TestSuffixes):
         known = np.concatenate(([False], numbers >= 0, [False]))
         begins, ends = np.flatnonzero(known[1:] & ~known[:-1]), np.flatnonzero(known[:-1] & ~known[1:])
-        fits = ends - begins >= shortest
+        fits = ends - begins >= tests.shortest
         begins, ends = begins[fits], ends[fits]
         sizes = ends - begins + 1
-        self.places = np.repeat(begins - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        self.tokens = np.concatenate((numbers, [-1]))[self.places].astype(np.int64)
-        size = len(self.tokens)
-        rank, width = self.tokens + 1, 1
-        while size and width < longest:
-            following = np.concatenate((rank[width:], np.zeros(min(width, size), np.int64)))[:size]
-            _, rank = np.unique(rank * (int(rank.max()) + 2) + following, return_inverse=True)
-            rank = rank.astype(np.int64)
+        self.origin = np.repeat(begins - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        own = np.concatenate((numbers, [-1]))[self.origin]
+        self.items = len(tests.tokens)
+        tokens = np.concatenate((tests.tokens, own))
+        ends = np.flatnonzero(tokens < 0)
+        tokens[ends] = len(tests.numbers) + np.arange(len(ends))
+        self.levels = [tokens]
+        width = 1
+        while len(own) and width < tests.longest:
+            rank = self.levels[-1]
+            _, wider = np.unique(rank * (int(rank.max()) + 2) + self._at(rank, width), return_inverse=True)
+            self.levels.append(wider.astype(np.int64))
             width *= 2
-            if int(rank.max()) + 1 == size:
+            if int(wider.max()) + 1 == len(tokens):
                 break
-        order = np.argsort(rank, kind="stable")
-        self.order = order[self.tokens[order] >= 0]
-        self.tokens = np.concatenate((self.tokens, np.full(max(longest, window), -1)))
-
 
-def matches(array: SuffixArray, tests: TestSuffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, length, item) of every longest verbatim match of a test suffix that is at least a window long.
-
-    Binary-searches each test suffix by its first window in the suffix array; all suffixes between the two bounds
-    match it, and each of these matches is extended word by word.
+    @staticmethod
+    def _at(rank: np.ndarray, ahead: int) -> np.ndarray:
+        """One more than the rank so many words ahead, 0 beyond the end."""
+        moved = np.zeros(len(rank), np.int64)
+        moved[: len(rank) - ahead] = rank[ahead:] + 1
+        return moved
+
+    def prefixes(self, size: int) -> np.ndarray:
+        """A number for the first ``size`` words of every suffix."""
+        level = min(size.bit_length() - 1, len(self.levels) - 1)
+        rank = self.levels[level]
+        # an early end of doubling means that no two suffixes share more words
+        ahead = size - (1 << level) if size < 2 << level else 0
+        return rank * (int(rank.max()) + 2) + (self._at(rank, ahead) if ahead else 0)
+
+    def common(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Number of first words that suffixes share, pair by pair."""
+        length = np.zeros(len(one), np.int64)
+        for k in reversed(range(len(self.levels))):
+            # a match ends before the end of its item, so this ends at the last place at most
+            rank = self.levels[k]
+            a, b = one + length, other + length
+            inside = (a < len(rank)) & (b < len(rank))
+            same = inside.copy()
+            same[inside] = rank[a[inside]] == rank[b[inside]]
+            length[same] += 1 << k
+        return length
+
+
+def matches(shard: Shard, tests: TestSuffixes) -> tuple[np.ndarray, ...]:
+    """(place, length, item) of the longest match at each place of the shard, and (text, item) of the items found.
+
+    A match is a window of an item at least. Items are numbers in the block.
     """
-    order, tokens = array.order, array.tokens
     none = np.empty(0, np.int64)
-    if not len(order) or not len(tests.starts):
-        return none, none, none
-    width = tests.window
-    wanted = tests.tokens[tests.starts[:, None] + np.arange(width)].astype(np.int64)
-    beyond = np.arange(width) >= tests.needs[:, None]
-
-    def bound(upper: bool) -> np.ndarray:
-        low, high = np.zeros(len(wanted), np.int64), np.full(len(wanted), len(order), np.int64)
-        for _ in range(len(order).bit_length() + 1):
-            open_ = np.flatnonzero(low < high)
-            if not len(open_):
-                break
-            middle = (low[open_] + high[open_]) // 2
-            difference = tokens[order[middle][:, None] + np.arange(width)] - wanted[open_]
-            difference[beyond[open_]] = 0
-            first = np.argmax(difference != 0, axis=1)
-            sign = difference[np.arange(len(open_)), first]
-            before = sign <= 0 if upper else sign < 0
-            low[open_] = np.where(before, middle + 1, low[open_])
-            high[open_] = np.where(before, high[open_], middle)
-        return low
-
-    low, high = bound(False), bound(True)
-    counts = high - low
-    test = np.repeat(np.arange(len(counts)), counts)
-    if not len(test):
-        return none, none, none
-    place = order[np.arange(len(test)) - np.repeat(np.cumsum(counts) - counts, counts) + low[test]]
-    length = tests.needs[test].copy()
-    most = tests.ends[test] - tests.starts[test]
-    going = np.flatnonzero(length < most)
-    while len(going):
-        same = tokens[place[going] + length[going]] == tests.tokens[tests.starts[test[going]] + length[going]]
-        going = going[same]
-        length[going] += 1
-        going = going[length[going] < most[going]]
-    return array.places[place], length, tests.owners[test]
+    ranks = SuffixRanks(shard.numbers(tests.numbers), tests)
+    if not len(ranks.origin):
+        return (none,) * 5
+    place, length, item, texts, found = [], [], [], [], []
+    for size, begins in tests.places.items():
+        keys = ranks.prefixes(size)
+        order = np.argsort(keys[ranks.items :], kind="stable")
+        own = keys[ranks.items :][order]
+        windows, kind = np.unique(keys[begins], return_inverse=True)
+        low, high = np.searchsorted(own, windows, "left"), np.searchsorted(own, windows, "right")
+        counts = high - low
+        window = np.repeat(np.arange(len(windows)), counts)
+        if not len(window):
+            continue
+        at = order[np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts) + low[window]]
+        first = np.full(len(windows), len(tests.ids))
+        np.minimum.at(first, kind, tests.owners[size])
+        longest, owner = np.full(len(at), size), first[window]
+        if size == tests.window:
+            longest, owner = _longest(ranks, at + ranks.items, begins, tests.owners[size])
+        place.append(ranks.origin[at])
+        length.append(longest)
+        item.append(owner)
+        hit_texts, hit_items = _items_found(shard.text_of(ranks.origin[at]), window, kind, tests.owners[size])
+        texts.append(hit_texts)
+        found.append(hit_items)
+    if not place:
+        return (none,) * 5
+    return tuple(map(np.concatenate, (place, length, item, texts, found)))
+
+
+def _longest(ranks: SuffixRanks, at: np.ndarray, begins: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Length and item of the longest match of each suffix: one of its neighbours among the sorted item suffixes."""
+    rank = ranks.levels[-1]
+    order = np.argsort(rank[begins], kind="stable")
+    begins, owners = begins[order], owners[order]
+    after = np.searchsorted(rank[begins], rank[at])
+    near = [np.clip(after + d, 0, len(begins) - 1) for d in (-1, 0)]
+    lengths = [ranks.common(at, begins[n]) for n in near]
+    second = lengths[1] > lengths[0]
+    return np.where(second, lengths[1], lengths[0]), owners[np.where(second, near[1], near[0])]
+
+
+def _items_found(texts: np.ndarray, window: np.ndarray, kind: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, item) for every item of which a text has a window, each once. Windows of the same items count as one."""
+    pairs = np.unique(np.stack((kind, owners)), axis=1)
+    cuts = np.flatnonzero(np.diff(pairs[0], prepend=-1))
+    sets: dict[bytes, int] = {}
+    group = np.array([sets.setdefault(own.tobytes(), len(sets)) for own in np.split(pairs[1], cuts[1:])])
+    items = [np.frombuffer(own, np.int64) for own in sets]
+    hits = np.unique(np.stack((texts, group[window])), axis=1)
+    sizes = np.array([len(x) for x in items])[hits[1]]
+    every = np.concatenate([items[g] for g in hits[1].tolist()])
+    pairs = np.unique(np.stack((np.repeat(hits[0], sizes), every)), axis=1)
+    return pairs[0], pairs[1]
+
+
+def merged(place: np.ndarray, length: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(start, length, item, match_start, match_length) of the runs of words that matches cover, with the longest match
+    of each run (ties: the first) and its item."""
+    order = np.lexsort((item, -length, place))
+    place, length, item = place[order], length[order], item[order]
+    end = np.maximum.accumulate(place + length)
+    new = np.concatenate(([True], place[1:] > end[:-1]))
+    run = np.cumsum(new) - 1
+    last = np.append(np.flatnonzero(new)[1:], len(place)) - 1
+    best = np.lexsort((item, place, -length, run))[np.flatnonzero(new)]
+    start = place[new]
+    return start, end[last] - start, item[best], place[best], length[best]
+
+
+def shard_matches(texts: list[bytes], blocks: list[TestSuffixes]) -> pa.StructArray:
+    """n_words, spans and item_ids of each text of a shard; positions in spans are word numbers within the text."""
+    shard = Shard(texts)
+    ids: list[int | None] = []
+    parts = []
+    for tests in blocks:
+        place, length, item, hit_texts, hit_items = matches(shard, tests)
+        parts.append((place, length, item + len(ids), hit_texts, hit_items + len(ids)))
+        ids += tests.ids
+    place, length, item, hit_texts, hit_items = (np.concatenate(p) for p in zip(*parts, strict=True))
+    size = len(texts)
+    start, covered, owner, at, longest = merged(place, length, item) if len(place) else (place,) * 5
+    text = shard.text_of(start)
+    named = pa.array(ids, pa.int64())
+    columns = [start - shard.begins[text], covered, named.take(pa.array(owner)), at - shard.begins[text], longest]
+    spans = pa.StructArray.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], _SPAN_FIELDS)
+    # items of one id are one item
+    distinct = {x: k for k, x in enumerate(dict.fromkeys(ids))}
+    same = np.array([distinct[x] for x in ids], np.int64)
+    pairs = np.unique(np.stack((hit_texts, same[hit_items])), axis=1) if len(hit_texts) else np.empty((2, 0), np.int64)
+    found = pa.array([*distinct], pa.int64()).take(pa.array(pairs[1]))
+    lists = [pa.ListArray.from_arrays(_offsets(t, size), v) for t, v in ((text, spans), (pairs[0], found))]
+    return pa.StructArray.from_arrays([pa.array(shard.sizes), *lists], ["n_words", "spans", "item_ids"])
+
+
+def _offsets(texts: np.ndarray, size: int) -> pa.Array:
+    return pa.array(np.concatenate(([0], np.cumsum(np.bincount(texts, minlength=size)))), pa.int32())
 
 
 def shard_spans(texts: list[bytes], tests: TestSuffixes) -> Iterator[tuple[int, list[dict]]]:
-    """(words, spans) of each text of a shard; positions in spans are word numbers within the text."""
-    get = tests.numbers.get
-    numbers, sizes = [], []
-    for text in texts:
-        own = words(text)
-        numbers.append(np.fromiter((get(w, -1) for w in own), np.int32, count=len(own)))
-        numbers.append(np.array([-1], np.int32))
-        sizes.append(len(own))
-    array = SuffixArray(np.concatenate(numbers) if numbers else np.empty(0, np.int32), tests.shortest, tests.longest, tests.window)
-    place, length, item = matches(array, tests)
-    begins = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64) + 1)))
-    sort = np.lexsort((item, length, place))
-    place, length, item = place[sort], length[sort], item[sort]
-    cuts = np.searchsorted(place, begins)
-    for k, size in enumerate(sizes):
-        own = slice(cuts[k], cuts[k + 1])
-        yield size, [
-            {"start": s - int(begins[k]), "length": n, "item_id": i}
-            for s, n, i in zip(place[own].tolist(), length[own].tolist(), item[own].tolist(), strict=True)
-        ]
+    """(words, spans) of each text of a shard for one block of items."""
+    for found in shard_matches(texts, [tests]).to_pylist():
+        yield found["n_words"], [{k: s[k] for k in _SPAN_FIELDS[:3]} for s in found["spans"]]
 
 
 def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | None, bytes]]]:
-    """The items in blocks of bounded size: the driver holds one block at a time."""
+    """The items in blocks of bounded size: the driver holds the blocks of one scan at a time."""
     block, size = [], 0
     for row in items.select("item_id", "text").toLocalIterator():
         text = (row["text"] or "").encode()
@@ -174,21 +270,30 @@ def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int | Non
 
 
 def _search(sent, shard_bytes: int):
-    """Column function that gives the words and spans of a text for one block of items."""
+    """Column function that gives the words, spans and items of a text for some blocks of items."""
 
     @F.arrow_udf(_FOUND)
     def search(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            shards = (shard_spans([*byte_texts(p)], sent.value) for p in pieces(column, shard_bytes))
-            yield pa.array([{"n_words": n, "spans": s} for shard in shards for n, s in shard], _ARROW)
+            found = [shard_matches([*byte_texts(p)], sent.value) for p in pieces(column, shard_bytes)]
+            yield pa.concat_arrays(found) if found else shard_matches([], sent.value)
 
     return search
 
 
 def _searches(docs: DataFrame, items: DataFrame, window: int, shard_bytes: int, block_bytes: int) -> Iterator:
+    """One search for each scan of the documents: as many blocks as are sent at once."""
     context = docs.sparkSession.sparkContext
+    held: list[TestSuffixes] = []
+    size = 0
     for block in _blocks(items, block_bytes):
-        yield _search(context.broadcast(TestSuffixes(block, window)), shard_bytes)
+        own = sum(len(text) for _, text in block)
+        if held and size + own > PASS_BYTES:
+            yield _search(context.broadcast(held), shard_bytes)
+            held, size = [], 0
+        held.append(TestSuffixes(block, window))
+        size += own
+    yield _search(context.broadcast(held), shard_bytes)
 
 
 def benchmark_spans(
@@ -198,15 +303,19 @@ def benchmark_spans(
     shard_bytes: int = SHARD_BYTES,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """(doc_id, n_words, spans) for every document: where it repeats the items word for word.
-
-    A span (start, length, item_id) is a longest match of some suffix of an item, at least ``window`` words long or the
-    whole of a shorter item; start and length count words. Words are runs of digits, letters and non-ASCII characters,
-    A-Z in lower case. Null or empty texts have no words and no spans; items with a null id or without words match
-    nothing; repeated items and rows count one by one. Other columns are ignored. No documents give no rows, no items
-    give documents without spans.
-
-    The items are broadcast in blocks of at most ``block_bytes`` (or one item); further blocks scan the documents again.
+    """(doc_id, text_key, n_words, spans, item_ids) for every document: where it repeats the items word for word.
+
+    A span (start, length, item_id, match_start, match_length) is a run of words that matches cover, with the longest
+    match in it and an item that has it. A match is the longest run of words that an item and a place of a document have
+    in common, at least ``window`` words or the whole of a shorter item; positions and lengths count words. ``item_ids``
+    are the items of which the document has a window, each once. Words are runs of digits, letters and non-ASCII
+    characters, A-Z in lower case. Null or empty texts have no words and no spans; items with a null id are searched
+    like others and stand in ``item_ids`` as one null; items without words match nothing; repeated items count once,
+    repeated rows one by one. Other columns are ignored. No documents give no rows, no items give documents without
+    spans.
+
+    The items are sent in blocks of at most ``block_bytes`` (or one item), ``PASS_BYTES`` of them for one scan of the
+    documents; larger benchmarks scan the documents again.
     """
     passes = [
         docs.select("doc_id", fold(F.col("text")).alias("text_key"), search("text").alias("found"))
@@ -220,17 +329,18 @@ def benchmark_spans(
     # equal rows have equal results, so copies of a row are told apart by their number alone
     whole = every.groupBy("doc_id", "text_key").agg(
         F.max("found.n_words").alias("n_words"),
-        F.flatten(F.collect_list("found.spans")).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("found.spans"))).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("found.item_ids"))).alias("item_ids"),
         (F.count("*") / len(passes)).cast("int").alias("copies"),
     )
-    spans = F.when(F.col("copies") == 1, F.col("spans")).otherwise(F.array_distinct("spans"))
-    return whole.select("doc_id", "text_key", "n_words", spans.alias("spans"), F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
+    return whole.select("doc_id", "text_key", "n_words", "spans", "item_ids", F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """(doc_id, text_key, n_words, n_hit, item_ids, contaminated) for every document; see ``benchmark_spans``.
+    """(doc_id, text_key, n_words, n_hit, n_items, item_ids, contaminated) for every document; see ``benchmark_spans``.
 
-    n_hit counts the words inside any span; item_ids are the items found, each once, in the order of their texts.
+    n_hit counts the words inside any span, n_items the items found (those with a null id are one); item_ids are their
+    ids but null, in the order of their texts.
     """
     found = benchmark_spans(docs, items, window)
     # spans sorted by start: each adds its words beyond the furthest end so far
@@ -243,19 +353,23 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS)
         ),
         lambda s: s["hit"],
     )
-    ids = F.array_sort(F.array_distinct(F.transform("spans", lambda x: x["item_id"].cast("string"))))
+    ids = F.array_sort(F.transform(F.filter("item_ids", lambda x: x.isNotNull()), lambda x: x.cast("string")))
     return found.select(
         "doc_id",
         "text_key",
         "n_words",
         step.alias("n_hit"),
+        F.size("item_ids").cast("bigint").alias("n_items"),
         ids.alias("item_ids"),
         (F.size("spans") > 0).alias("contaminated"),
     )
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """The documents that repeat no window of any item, with all their columns; null texts stay."""
+    """The documents that repeat no window of any item, with all their columns, whatever these are called.
+
+    Null and empty texts stay, repeated rows stay or go together; no documents give no rows, no items keep all.
+    """
     for search in _searches(docs, items, window, SHARD_BYTES, BLOCK_BYTES):
         docs = docs.where(F.size(search(F.col("text"))["spans"]) == 0)
     return docs

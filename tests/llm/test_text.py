@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -47,7 +49,7 @@ def brute_contamination(rows, items):
     windows = {}
     for item_id, text in items:
         w = item_words(text)
-        if w and item_id is not None:
+        if w:
             n = min(10, len(w))
             for i in range(len(w) - n + 1):
                 windows.setdefault(tuple(w[i : i + n]), set()).add(item_id)
@@ -61,19 +63,20 @@ def brute_contamination(rows, items):
                 if ids:
                     hit.update(range(i, i + n))
                     found |= ids
-        out.append((doc_id, len(w), len(hit), sorted(map(str, found)), bool(hit)))
+        out.append((doc_id, len(w), len(hit), len(found), sorted(str(x) for x in found if x is not None), bool(hit)))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_bytes, shard_bytes", [(1 << 20, 1 << 20), (60, 200)])
-def test_contamination(spark, monkeypatch, block_bytes, shard_bytes):
+@pytest.mark.parametrize("block_bytes, shard_bytes, pass_bytes", [(1 << 20, 1 << 20, 1 << 20), (60, 200, 1 << 20), (60, 200, 150)])
+def test_contamination(spark, monkeypatch, block_bytes, shard_bytes, pass_bytes):
+    monkeypatch.setattr(suffixes, "PASS_BYTES", pass_bytes)
     rows = sample()
     items = items_of(rows)
     spans = suffixes.benchmark_spans
     monkeypatch.setattr(suffixes, "benchmark_spans", lambda d, i, w: spans(d, i, w, shard_bytes, block_bytes))
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = suffixes.contamination(frame(spark, rows), bench)
-    columns = ("doc_id", "n_words", "n_hit", "item_ids", "contaminated")
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "item_ids", "contaminated")
     got = sorted((tuple(r[c] for c in columns) for r in found.collect()), key=str)
     want = brute_contamination(rows, items)
     assert got == want and 3 < sum(r[-1] for r in want) < len(rows)
@@ -100,6 +103,66 @@ def test_short_items_at_the_end_of_a_shard(size):
     assert [s for _, s in found] == [[], [{"start": 1, "length": size, "item_id": 7}]]
 
 
+def brute_longest(text, items, window):
+    """(place, length) of the longest match at every place of a text."""
+    w, out = item_words(text), {}
+    for item in items:
+        own = item_words(item)
+        for p in range(len(w)):
+            for k in range(len(own)):
+                n = 0
+                while p + n < len(w) and k + n < len(own) and w[p + n] == own[k + n]:
+                    n += 1
+                if n >= window or (k == 0 and n == len(own) > 0):
+                    out[p] = max(out.get(p, 0), n)
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(st.lists(st.sampled_from("abc"), max_size=14).map(" ".join), min_size=1, max_size=4),
+    st.lists(st.lists(st.sampled_from("abcx"), max_size=25).map(" ".join), min_size=1, max_size=4),
+    st.integers(1, 5),
+)
+def test_longest_matches(items, texts, window):
+    tests = suffixes.TestSuffixes([(k, i.encode()) for k, i in enumerate(items)], window)
+    shard = suffixes.Shard([t.encode() for t in texts])
+    place, length, *_ = suffixes.matches(shard, tests)
+    got = {}
+    for p, n in zip(place.tolist(), length.tolist()):
+        got[p] = max(got.get(p, 0), n)
+    begin, want = 0, {}
+    for t in texts:
+        want |= {begin + p: n for p, n in brute_longest(t, items, window).items()}
+        begin += len(item_words(t)) + 1
+    assert got == want
+    for text, found in zip(texts, suffixes.shard_matches([t.encode() for t in texts], [tests]).to_pylist()):
+        own = brute_longest(text, items, window)
+        hit = {k for p, n in own.items() for k in range(p, p + n)}
+        assert {k for s in found["spans"] for k in range(s["start"], s["start"] + s["length"])} == hit
+        assert sorted(found["item_ids"]) == [k for k, i in enumerate(items) if brute_longest(text, [i], window)]
+        assert all(own[s["match_start"]] == s["match_length"] for s in found["spans"])
+
+
+@pytest.mark.parametrize("size", [200, 1000])
+def test_one_word_again_and_again(size):
+    tests = [suffixes.TestSuffixes([(k, b"0 " * n) for k, n in enumerate((size, size - 1, 5))], suffixes.WINDOW_WORDS)]
+    started = time.process_time()
+    long, short = suffixes.shard_matches([b"0 " * 500_000, b"1 " + b"0 " * 300], tests).to_pylist()
+    assert time.process_time() - started < 60
+    match = {"start": 0, "length": 500_000, "item_id": 0, "match_start": 0, "match_length": size}
+    assert long == {"n_words": 500_000, "spans": [match], "item_ids": [0, 1, 2]}
+    assert [(s["start"], s["length"], s["match_length"]) for s in short["spans"]] == [(1, 300, min(size, 300))]
+
+
+@pytest.mark.parametrize("chunk", [5, 64, 1000])
+def test_long_texts_cost_the_same_in_chunks(chunk):
+    rng = random.Random(2)
+    model = language.train({k: [" ".join(prose(rng, 200)).encode()] for k in "ab"} | {"c": ["été à Zürich".encode() * 20]})
+    texts = [" ".join(prose(rng, n)).encode() for n in (0, 1, 30, 300)] + ["é漢\0x".encode() * 90]
+    assert np.allclose(model.bits(texts, chunk), model.bits(texts), rtol=1e-6, atol=1e-3)
+
+
 # quality rules
 
 
@@ -449,6 +512,33 @@ def test_token_files(spark, tmp_path):
     assert tokens.read_tokens(spark, str(tmp_path / "none")).count() == 0
 
 
+_CHARACTERS = st.one_of(
+    st.sampled_from(list(" \t\n\x0b\x0c\r\x1c\x85\xa0\u2003.,'!-<|>aAiIkKhHsSsSΣσςİıẞßÅKﬁ१٣½漢字\U0001f642\U00010400")),
+    st.sampled_from([chr(c) for c in range(0x300, 0x345)]),
+    st.characters(codec="utf-8"),
+)
+_STRINGS = st.sampled_from(["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "'S", "'ll", "İ...", "BELEDİYESİ,", "H\u0331", "I\u0307,"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.one_of(_CHARACTERS, _STRINGS), max_size=25).map("".join), max_size=8))
+def test_words_have_the_tokenizer_s_ids(texts):
+    tokenizer = encoder().tokenizer
+    got = encoder().encode([t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@lru_cache
+def encoder():
+    return tokens.WordEncoder(tokens.TOKENIZER)
+
+
+def test_one_long_text_without_white_space():
+    text = "abc漢" * 50_000
+    (got,) = encoder().encode([text.encode()])
+    assert got.tolist() == encoder().tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_forgetful_encoder_gives_the_same_ids(monkeypatch):
     texts = [(r[1] or "").encode() for r in sample()]
     whole = tokens.WordEncoder(tokens.TOKENIZER).encode(texts)
