@@ -45,8 +45,21 @@ class LanguageModel:
     cost: list[np.ndarray] = field(default_factory=list)
     escape: list[np.ndarray] = field(default_factory=list)
 
-    def bits(self, texts: list[bytes]) -> np.ndarray:
-        """Exact code length of each text (rows) in each language (columns)."""
+    def bits(self, texts: list[bytes], chunk: int = _PIECE_BYTES) -> np.ndarray:
+        """Exact code length of each text (rows) in each language (columns).
+
+        Long texts are coded in chunks, each after as many bytes of the one before it as a context has; what these cost
+        by themselves is taken off again.
+        """
+        order = max(len(self.cost) - 1, 0)
+        total = self._bits([t[:chunk] for t in texts])
+        for row, text in zip(total, texts, strict=True):
+            for at in range(chunk, len(text), chunk):
+                own, before = self._bits([text[at - order : at + chunk], text[at - order : at]])
+                row += own - before
+        return total
+
+    def _bits(self, texts: list[bytes]) -> np.ndarray:
         total = np.zeros((len(texts), len(self.languages)))
         if not texts or not self.languages:
             return total
