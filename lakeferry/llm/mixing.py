@@ -165,7 +165,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 
 def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The documents drawn at their rates, with all their columns: each by a hash of its id and text, so a rerun draws
-    the same. A rate of 1 keeps the document; above 1 its whole part gives copies."""
+    the same. A rate of 1 keeps the document; above 1 its whole part gives copies. Columns may have any names."""
     drawn = mixed(docs, labels, targets)
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text_key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor(F.col("rate") + chance).cast("int")
@@ -173,5 +173,5 @@ def sampled(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None
     drawn = drawn.withColumn("copies", copies).where("copies > 0")
     drawn = drawn.groupBy(F.col("doc_id").alias("drawn_id"), F.col("text_key").alias("drawn_key")).agg(F.max("copies").alias("mix_copies"))
     same = docs["doc_id"].eqNullSafe(drawn["drawn_id"]) & (fold(docs["text"]) == drawn["drawn_key"])
-    copies = F.explode(F.sequence(F.lit(1), drawn["mix_copies"])).alias("__copy")
-    return docs.join(drawn, same).select(*[docs[c] for c in docs.columns], copies).drop("__copy")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return docs.join(drawn, same).select(F.explode(F.array_repeat(row, drawn["mix_copies"])).alias("row")).select("row.*")
