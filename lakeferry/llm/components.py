@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates the two star operations: large stars hang the larger neighbours of a node on its smallest one, small
     stars hang the smaller ones and the node itself there. Each round is written to the shared folder, so lineage
     stays short; only a count and a checksum reach the driver. The minimum of a node's neighbours is combined map-side
-    and the edges of a node with very many neighbours can be split by a skewed join.
+    and written before the edges are joined with it: only then are both sides of the join plain shuffles, and Spark
+    splits the edges of a node with very many neighbours.
     Loops and repeated edges do not matter. No edges give no rows.
     """
     edges = (
@@ -38,13 +39,13 @@ def _state(edges: DataFrame):
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = landed(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     hung = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = landed(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     others = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.union(least.select("a", F.col("m").alias("b"))).distinct()

@@ -209,11 +209,13 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     )
     # the index: each distinct block with its first document; anchors of one document only lead nowhere
     index = blocks.groupBy("g", "q").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    shared = (
+    # what is joined on its own key is written first: Spark splits a very common key only between plain shuffles
+    shared = landed(
         index.groupBy("g")
         .agg(F.count("*").alias("contexts"), F.min("first_id").alias("f"), F.max("last_id").alias("l"))
         .where("f < l")
-        .select("g", "contexts")
+        .select("g", "contexts"),
+        "shared",
     )
     useful = index.join(shared, "g").where("contexts > 1 or first_id < last_id")
     useful = useful.select("g", "q", "first_id", (F.col("contexts") > 1).alias("edge"))
@@ -231,7 +233,7 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     )
     opened = landed(opened.select("doc_id", "text_key", "x.*"), "windows")
     firsts = opened.groupBy("g", "w").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
-    late = opened.join(firsts.select("g", "w", "first_id"), ["g", "w"]).where("first_id < doc_id")
+    late = opened.join(landed(firsts.select("g", "w", "first_id"), "first-windows"), ["g", "w"]).where("first_id < doc_id")
     late = late.select(
         "doc_id", "text_key", F.struct(F.col("pos").alias("start"), F.lit(WINDOW_WORDS).alias("length")).alias("span")
     )

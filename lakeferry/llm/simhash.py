@@ -80,10 +80,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, bucket_rows: int = BU
     rows = landed(docs.select("doc_id", fold(F.col("text")).alias("text_key"), fingerprints("text").alias("fp")), "fingerprints")
     firsts = landed(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "firsts")
     roots = components(near_pairs(firsts.select("fp"), radius, bucket_rows))
-    rooted = firsts.join(roots, firsts["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    rooted = landed(
+        firsts.join(roots, firsts["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")),
+        "rooted",
     )
-    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # written, so that a root of very many fingerprints can be split in the join
+    ids = landed(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")
     named = rooted.join(ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
 

@@ -9,6 +9,7 @@ from helpers import SCHEMA, clashing, lower, sample, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from lakeferry.llm import components as components_module
 from lakeferry.llm import lempel_ziv, simhash
 from lakeferry.llm.components import components
 
@@ -87,6 +88,59 @@ def test_components_of_chains_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+SKEWED = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "8",
+    # a partition is split by the map tasks its rows come from, so there have to be some
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.files.openCostInBytes": "1",
+    "spark.sql.files.maxPartitionBytes": "16k",
+}
+
+
+@pytest.fixture
+def plans(spark, monkeypatch):
+    """Plans of all that is written between two steps, as they ran with a low threshold of skew."""
+    seen = []
+
+    def landed(df, name):
+        df.collect()
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return spark.createDataFrame(df.collect(), df.schema).repartition(4) if name == "blocks" else write(df, name)
+
+    write = lempel_ziv.landed
+    for module in (components_module, lempel_ziv, simhash):
+        monkeypatch.setattr(module, "landed", landed)
+    before = {k: spark.conf.get(k, None) for k in SKEWED}
+    for k, v in SKEWED.items():
+        spark.conf.set(k, v)
+    yield seen
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_large_star_is_split(spark, plans):
+    rng = random.Random(1)
+    edges = [(rng.getrandbits(40), 7) for _ in range(20_000)] + [(k, k + 10**6) for k in range(50, 90)]
+    got = components(spark.createDataFrame(edges, "a long, b long").repartition(6))
+    assert got.where("root = 7").count() == len({a for a, _ in edges[:20_000]}) + 1
+    assert [name for name, plan in plans if "skew=true" in plan]
+
+
+def test_a_common_anchor_is_split(spark, plans):
+    rng = random.Random(4)
+    common = [f"c{k}" for k in range(20)]
+    text = lambda k: " ".join([f"x{k}{rng.random()}" for _ in range(45)] + common + [f"y{k}{rng.random()}" for _ in range(45)])
+    docs = spark.createDataFrame([(k, text(k % 900), "en", "s", 0) for k in range(1500)], SCHEMA).repartition(6)
+    spans = lempel_ziv.duplicate_spans(docs)
+    spans.collect()
+    last = spans._jdf.queryExecution().executedPlan().toString()
+    assert any("skew=true" in plan for _, plan in [*plans, ("spans", last)])
+
+
 def brute_removed(rows):
     first = {}
     for doc_id, text, *_ in rows:
