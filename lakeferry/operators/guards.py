@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeferry.functions.types import WIDER, type_class
 from lakeferry.spec import TableSpec
 
 
@@ -135,3 +137,63 @@ def tables_to_load(specs: Iterable[TableSpec], drift: DataFrame, on_drift: str =
     if on_drift not in ("warn", "fail"):
         raise ValueError(f"unknown on_drift {on_drift!r}")
     return specs
+
+
+def observed_types(df: DataFrame, table_name: str, column: str) -> DataFrame:
+    """Columns of landed JSON rows with the narrowest type that holds all their values, as (table_name, column_name,
+    data_type). The types of rows are merged map-side, so one row leaves each task. Texts that are no JSON do not count."""
+    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column)))).first()[0] or ""
+    rows = [(table_name, name, kind) for name, kind in _fields(merged)]
+    return df.sparkSession.createDataFrame(rows, "table_name string, column_name string, data_type string")
+
+
+def _fields(merged: str) -> list[tuple[str, str]]:
+    """Names and types of an object type such as ``OBJECT<a: BIGINT, b: ARRAY<STRING>>``."""
+    if not merged.startswith("OBJECT<"):
+        return []
+    inner, parts, depth = merged[len("OBJECT<") : -1], [""], 0
+    for c in inner:
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    pairs = [p.strip().split(": ", 1) for p in parts if p.strip()]
+    return [(name.strip("`"), kind.lower()) for name, kind in pairs]
+
+
+def type_drift(contract: DataFrame, found: DataFrame) -> DataFrame:
+    """What to do with each column of a contract and of the types that were found.
+
+    ``keep``: the contract's type holds what was found. ``widen``: the type found holds all values of the contract's, and
+    ``new_type`` is its name. ``refuse``: neither holds the other. ``add``: the contract lacks the column. ``missing``: it
+    was not found. A column without values keeps its type.
+    """
+    keys = ["table_name", "column_name"]
+
+    def named(df: DataFrame, type_name: str) -> DataFrame:
+        return df.select(*[bare_name(F.col(k)).alias(k) for k in keys], F.lower("data_type").alias(type_name))
+
+    both = named(contract, "contract_type").join(named(found, "found_type"), keys, "full_outer")
+    old, new = type_class(F.col("contract_type")), type_class(F.col("found_type"))
+    wider = F.create_map(*[x for k, v in WIDER.items() for x in (F.lit(k), F.array(*map(F.lit, v)).cast("array<string>"))])
+    decision = (
+        F.when(F.col("found_type").isNull(), "missing")
+        .when(F.col("contract_type").isNull(), "add")
+        .when((F.col("found_type") == "void") | (old == new) | F.array_contains(wider[new], old), "keep")
+        .when(F.array_contains(wider[old], new), "widen")
+        .otherwise("refuse")
+    )
+    decided = both.withColumn("decision", decision)
+    return decided.withColumn("new_type", F.when(F.col("decision").isin("widen", "add"), new))
+
+
+def grown_contract(spec: TableSpec, drift: DataFrame) -> TableSpec:
+    """The contract with widened types and added columns; fails at a column whose type neither holds nor is held."""
+    rows = [r for r in drift.filter("decision in ('widen', 'add', 'refuse')").orderBy("column_name").collect() if r["table_name"] == spec.name]
+    refused = [r["column_name"] for r in rows if r["decision"] == "refuse"]
+    if refused:
+        raise CheckFailed(f"{spec.name}: types changed beyond widening in {', '.join(refused)}")
+    widened = {r["column_name"]: r["new_type"] for r in rows if r["decision"] == "widen"}
+    added = tuple((r["column_name"], r["new_type"]) for r in rows if r["decision"] == "add")
+    return replace(spec, columns=tuple((c, widened.get(c, t)) for c, t in spec.columns) + added)

@@ -156,6 +156,8 @@ def load_rows(spark: SparkSession, df: DataFrame, name: str, root: str, run: str
     again = [n for n, r in enumerate(ledger.runs, 1) if r == run and n not in ledger.hidden]
     gone = range(1, ledger.next_load) if whole else again
     known = set(ledger.every_row(spark).columns) if ledger.runs else set(df.columns)
+    if not whole:
+        _require_types(spark, df, ledger)
     written = write_load(spark, df, ledger, run)
     grown = ledger.grown or not set(df.columns) <= known
     written = replace(written, hidden=tuple(sorted({*ledger.hidden, *gone})), grown=grown)
@@ -163,6 +165,30 @@ def load_rows(spark: SparkSession, df: DataFrame, name: str, root: str, run: str
     return written
 
 
+def _require_types(spark: SparkSession, df: DataFrame, ledger: Ledger) -> None:
+    """Files of one table have one type for a column: a load with another one would make the table unreadable."""
+    old = dict(ledger.every_row(spark).dtypes) if ledger.runs else {}
+    other = [f"{c} was {old[c]} and is {t}" for c, t in df.dtypes if c in old and c != DAY and old[c] != t]
+    if other:
+        raise ValueError(f"{'; '.join(other)}: widen the table first")
+
+
+def widen(spark: SparkSession, name: str, types: dict[str, str]) -> Ledger:
+    """Give columns of a table other Spark types: every load that is seen is written again, under the run it has.
+
+    A value that the new type does not hold fails the job, and readers keep what they saw.
+    """
+    ledger = _known(spark, name)
+    # files of the old types stay where they are, so the table goes on in a folder of its own
+    moved = Ledger(f"{ledger.root.rstrip('/')}/widened-{uuid.uuid4().hex}", source=ledger.source)
+    for n in range(1, ledger.next_load):
+        if n not in ledger.hidden:
+            rows = ledger.rows(spark).where(F.col(LOAD) == n).drop(LOAD)
+            moved = write_load(spark, rows.withColumns({c: F.col(quoted(c)).cast(t) for c, t in types.items()}), moved, ledger.runs[n - 1])
+    commit(spark, name, moved)
+    return moved
+
+
 def replace_days(
     spark: SparkSession, df: DataFrame, name: str, days: Iterable[str], run: str, cluster_by: Sequence[str] = (), **changes
 ) -> Ledger:

@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lakeferry.functions.json_documents import JsonField
+from lakeferry.operators import guards
 from lakeferry.operators.guards import CheckFailed, table_counts
 from lakeferry.plans import runs
 from lakeferry.plans.replicate import landed, refined
@@ -203,6 +204,32 @@ def test_counts_read_no_columns(spark, load, view):
     assert "ReadSchema: struct<>" in plan
 
 
+def test_types_are_widened(spark, load, view, tmp_path):
+    load(source(spark, range(5)), RUN_1)
+    load(source(spark, [1, 7], "b"), RUN_2)
+    runs.load_run_day(spark, source(spark, [100], day=2), SPEC, RUN_2, view, date(2024, 1, 2))
+    before = notes(spark, view)
+    found = spark.createDataFrame([("t", "id", "numeric"), ("t", "created_at", "date"), ("t", "note", "void"), ("t", "extra", "boolean")], "table_name string, column_name string, data_type string")
+    drift = guards.type_drift(guards.contract_columns(spark, [SPEC]), found)
+    assert {r["column_name"]: r["decision"] for r in drift.collect()} == {"id": "widen", "created_at": "keep", "note": "keep", "doc": "missing", "extra": "add"}
+    grown = guards.grown_contract(SPEC, drift)
+    assert grown.declared["id"] == "numeric" and grown.column_names[-1] == "extra"
+    wide = source(spark, [5]).withColumns({"id": F.lit("12.5").cast("decimal(38,9)"), "extra": F.lit(True)})
+    with pytest.raises(ValueError, match="id was bigint and is decimal"):
+        load(wide, RUN_3, grown)
+    ledger.widen(spark, view, {"id": grown.spark_schema()["id"].dataType.simpleString()})
+    assert [(int(i), n) for i, n in notes(spark, view)] == before
+    load(wide, RUN_3, grown)
+    assert [float(i) for i, _ in notes(spark, view)] == sorted([i for i, _ in before] + [12.5])
+    # both loads of the second run are replaced; the day it read again keeps what it had hidden
+    again = source(spark, [2]).withColumns({"id": F.col("id").cast("decimal(38,9)"), "extra": F.lit(None).cast("boolean")})
+    load(again, RUN_2, grown)
+    assert [float(i) for i, _ in notes(spark, view)] == [0, 2, 2, 3, 4, 12.5]
+    refused = found.withColumn("data_type", F.when(F.col("column_name") == "id", "boolean").otherwise(F.col("data_type")))
+    with pytest.raises(CheckFailed, match="id"):
+        guards.grown_contract(SPEC, guards.type_drift(guards.contract_columns(spark, [SPEC]), refused))
+
+
 def test_copies_move_no_rows(spark, load, view, tmp_path):
     load(source(spark, range(5)), RUN_1)
     before = files_of(tmp_path / "raw")

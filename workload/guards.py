@@ -19,9 +19,11 @@ from lakeferry.operators.guards import (
     contract_columns,
     document_columns,
     drift_summary,
+    observed_types,
     row_count_check,
     schema_drift,
     table_counts,
+    type_drift,
 )
 from lakeferry.plans.backfill import promote
 from lakeferry.sinks.storage import shared_path
@@ -283,3 +285,54 @@ def csv_report(spark, sf_dir):
     )
     write_report_csv(counts, path)
     return spark.read.option("header", True).schema("segment string, customers string").csv(path)
+
+
+TYPED = parse_specs(
+    {
+        "sales.lines": {
+            "schema": {
+                "orderkey": "bigint",
+                "quantity": "integer",
+                "discount": "numeric",
+                '"flag"': "boolean",
+                "partkey": "text",
+                "shipped": "bigint",
+                "empty": "date",
+                "tax": "real",
+            }
+        }
+    }
+)
+
+
+@register(
+    """
+    WITH found AS (
+      SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem
+    )
+    SELECT 'lines' AS table_name, column_name, decision, new_type FROM found, (VALUES
+      ('orderkey', 'keep', NULL), ('quantity', 'widen', 'numeric'), ('discount', 'keep', NULL), ('flag', 'widen', 'text'),
+      ('partkey', 'keep', NULL), ('shipped', 'refuse', NULL), ('empty', 'keep', NULL), ('tax', 'missing', NULL)
+    ) AS v(column_name, decision, new_type) WHERE n > 0
+    UNION ALL SELECT 'lines', 'returned', 'add', 'text' FROM found WHERE returned > 0
+    """,
+    name="type_drift",
+)
+def types_found(spark, sf_dir):
+    """Types of a contract against those that the values of landed JSON documents have."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.to_json(
+            F.struct(
+                F.col("l_orderkey").alias("orderkey"),
+                (F.col("l_quantity") + 0.25).alias("quantity"),
+                F.when(F.col("l_linenumber") > 1, F.col("l_discount")).alias("discount"),
+                F.col("l_returnflag").alias("flag"),
+                F.col("l_partkey").alias("partkey"),
+                (F.col("l_linestatus") == "F").alias("shipped"),
+                F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("string")).alias("returned"),
+            )
+        ).alias("document"),
+    )
+    documents = rows.select(F.concat(F.lit('{"empty": null, '), F.substring("document", 2, 1 << 20)).alias("document"))
+    drift = type_drift(contract_columns(spark, TYPED.values()), observed_types(documents, "lines", "document"))
+    return drift.select("table_name", "column_name", "decision", "new_type")
