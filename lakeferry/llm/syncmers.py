@@ -26,7 +26,7 @@ SLACK, SLACK_SHARE = 64, 0.25
 #: Code points read at once.
 PIECE = 1 << 17
 #: Bytes of text in a bucket of neighbours, and the most buckets: their bounds are a constant of the plan.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 MOST_BUCKETS = 1 << 16
 _WINDOW = K - S + 1
 _START, _END = "\u0002" * (K - 1), "\u0003" * (K - 1)
@@ -41,7 +41,7 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
 def _piece_anchors(text: Column) -> Column:
     """(p, h) of every closed syncmer of a piece: its place from 0 on, and its hash in 48 bits."""
     # each code point is consumed alone and seen with the next ones
-    inner = F.transform(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{S}}}))."), 1), lambda g: F.xxhash64(g))
+    inner = F.transform(F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * S}))."), 1), lambda g: F.xxhash64(g))
 
     def least(hashes: Column, width: int, then: Callable[[Column, int], Column]) -> Column:
         """The smallest of as many following hashes as the largest power of 2 that fits between the edges."""
@@ -117,23 +117,26 @@ def likeness(one: Column, other: Column, most: int = ANCHORS) -> Column:
     Of the smallest hashes of both, those that both have at places shifted alike are counted. Their share j of all
     estimates common to either; 2 j / (1 + j) is common to the mean of both.
     """
-    hashes = [F.transform(fp, lambda a: a["h"]) for fp in (one, other)]
-    either = F.slice(F.sort_array(F.array_union(*hashes)), 1, most)
-    last = F.greatest(*(F.coalesce(F.array_max(F.transform(fp, lambda a: a["p"])), F.lit(0)) for fp in (one, other)))
 
-    def shifts(seen: Column, a: Column, b: Column) -> Column:
+    def compared_hashes(x: Column, y: Column, a: Column, b: Column) -> Column:
         place = lambda fp, own, h: F.get(fp, F.array_position(own, h).cast("int") - 1)["p"]
-        both = F.filter(seen, lambda h: F.array_contains(a, h) & F.array_contains(b, h))
-        return F.sort_array(F.transform(both, lambda h: place(one, a, h) - place(other, b, h)))
-
-    def share(found: Column, total: Column) -> Column:
+        seen = F.slice(F.sort_array(F.array_union(a, b)), 1, most)
+        both = _let(F.array_max(seen), lambda top: F.filter(F.array_intersect(a, b), lambda h: h <= top))
+        shifts = F.sort_array(F.transform(both, lambda h: place(x, a, h) - place(y, b, h)))
+        last = F.greatest(*(F.coalesce(F.array_max(F.transform(fp, lambda e: e["p"])), F.lit(0)) for fp in (x, y)))
+        slack = SLACK + SLACK_SHARE * last
+        return _let(shifts, lambda found: _let(F.size(near(found, slack)) / F.size(seen), lambda j: 2 * j / (1 + j)))
+
+    def near(found: Column, slack: Column) -> Column:
         usual = F.get(found, F.floor(F.size(found) / 2).cast("int"))
-        near = F.filter(found, lambda s: F.abs(s - usual) <= SLACK + SLACK_SHARE * last)
-        return _let(F.size(near) / total, lambda j: 2 * j / (1 + j))
+        return _let(F.struct(usual.alias("usual"), slack.alias("slack")), lambda c: F.filter(found, lambda s: F.abs(s - c["usual"]) <= c["slack"]))
+
+    def of_both(x: Column, y: Column) -> Column:
+        hashes = [F.transform(fp, lambda e: e["h"]) for fp in (x, y)]
+        shared = _let(hashes[0], lambda a: _let(hashes[1], lambda b: compared_hashes(x, y, a, b)))
+        return F.when((F.size(x) == 0) & (F.size(y) == 0), F.lit(1.0)).otherwise(shared)
 
-    found = _let(hashes[0], lambda a: _let(hashes[1], lambda b: _let(either, lambda seen: F.struct(shifts(seen, a, b).alias("shifts"), F.size(seen).alias("total")))))
-    both_empty = (F.size(one) == 0) & (F.size(other) == 0)
-    return F.when(both_empty, F.lit(1.0)).otherwise(_let(found, lambda x: share(x["shifts"], x["total"])))
+    return _let(one, lambda x: _let(other, lambda y: of_both(x, y)))
 
 
 def _neighbours(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, Window]:
@@ -152,7 +155,9 @@ def _neighbours(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, Window]:
     ranges = keys.select("key").repartitionByRange(parts, "key").groupBy(F.spark_partition_id().alias("range"))
     bounds = landed(ranges.agg(F.min("key").alias("first"), F.max("key").alias("last")), "bounds").coalesce(1)
     listed = bounds.agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("bounds"))
-    steps = [1 << k for k in reversed(range(parts.bit_length()))]
+    # ranges without a key have no bounds, and there may be more ranges than were asked for
+    buckets = max(bounds.count(), 1)
+    steps = [1 << k for k in reversed(range(buckets.bit_length()))]
 
     def placed(bounds: Column, own: Column) -> Column:
         """The bucket by binary search, and the next one too for the last document of a bucket."""
@@ -164,7 +169,7 @@ def _neighbours(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, Window]:
 
     keyed = rows.select("doc_id", "text", key.alias("key"), listed.scalar().alias("bounds"))
     dealt = keyed.select("doc_id", "text", "key", F.explode(_let(F.col("bounds"), lambda b: placed(b, F.col("key")))).alias("x"))
-    dealt = dealt.select("doc_id", "text", "key", "x.*").repartition(parts, "bucket")
+    dealt = dealt.select("doc_id", "text", "key", "x.*").repartition(buckets, "bucket")
     order = Window.partitionBy("bucket").orderBy("ghost", F.desc("key"))
     return dealt, order
 
