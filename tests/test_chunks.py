@@ -108,3 +108,39 @@ def test_waves():
     unsplit = TableSpec("t", (("key", "text"),), ts_column="at")
     assert len(list(jdbc.read_waves(session, {"url": "u"}, unsplit, date(2024, 1, 1)))) == 1
     assert session.asked[-1][1:3] == ("(select key from t where at >= '2024-01-01 00:00:00+00') q", ["1 = 1"])
+
+
+@pytest.mark.parametrize("kind", ["wide", "skewed", "text", "hot", "dense", "none"])
+def test_rows_have_the_number_of_their_predicate(spark, kind, monkeypatch):
+    monkeypatch.setattr(chunks, "WAVE_PREDICATES", 3)
+    name = "string" if kind == "text" else "long"
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([*keys_of(kind), None])], f"k {name}, id long").repartition(7)
+    starts = [tuple(r) for r in chunks.chunk_starts(df, ["k"], 64).collect()]
+    found = [list(chunks.balanced_predicates(["k"], starts))]
+    if kind in ("dense", "hot"):
+        found.append(chunks.range_predicates("k", 5, 90, 7))
+    for predicates in found:
+        hit = F.coalesce(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
+        want = sorted(tuple(r) for r in df.select("id", hit).collect())
+        assert sorted(tuple(r) for r in chunks.chunk_numbers(df, "k", predicates).select("id", "chunk").collect()) == want
+
+
+def test_predicates_that_leave_gaps_are_refused(spark):
+    df = spark.createDataFrame([(1,)], "k long")
+    for few in (slice(1, None), slice(None, 2), slice(None, None, 2)):
+        with pytest.raises(ValueError, match="predicate"):
+            chunks.chunk_numbers(df, "k", chunks.range_predicates("k", 0, 40, 10)[few])
+
+
+def orders_of(spark, folder, step, n=5000):
+    orders = spark.range(n).select((F.col("id") * step).alias("o_orderkey"))
+    orders.write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_many_predicates_are_no_part_of_the_plan(spark, tmp_path):
+    from workload.replication import chunked_by_range
+
+    found = chunked_by_range(spark, orders_of(spark, tmp_path, 1000))
+    assert "CASE WHEN" not in found._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, found.collect())) == [(i, 1) for i in range(5000)]

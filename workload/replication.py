@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from lakeferry.functions.normalize import export_text, normalize_rows
-from lakeferry.operators.chunks import day_predicates, range_predicates
+from lakeferry.operators.chunks import chunk_numbers, day_predicates, range_predicates
 from lakeferry.operators.derived import TASK_COLUMNS, task_metadata
 from lakeferry.operators.guards import table_counts
 from lakeferry.operators.latest import latest_per_key
@@ -191,8 +191,8 @@ def chunked_by_range(spark, sf_dir):
     """Rows per key-range predicate of a backfill, with bounds from one aggregate row."""
     orders = table(spark, sf_dir, "orders")
     lo, hi = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    chunk = _chunk(range_predicates("o_orderkey", lo, hi, 1000))
-    return orders.groupBy(chunk.alias("chunk")).agg(F.count("*").alias("num_rows"))
+    chunks = chunk_numbers(orders.select("o_orderkey"), "o_orderkey", range_predicates("o_orderkey", lo, hi, 1000))
+    return chunks.groupBy("chunk").agg(F.count("*").alias("num_rows"))
 
 
 @register(
