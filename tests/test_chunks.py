@@ -144,3 +144,11 @@ def test_many_predicates_are_no_part_of_the_plan(spark, tmp_path):
     found = chunked_by_range(spark, orders_of(spark, tmp_path, 1000))
     assert "CASE WHEN" not in found._jdf.queryExecution().analyzed().toString()
     assert sorted(map(tuple, found.collect())) == [(i, 1) for i in range(5000)]
+
+
+def test_cubes_beyond_bigint(spark, tmp_path):
+    from workload.runs import chunked_balanced
+
+    found = chunked_balanced(spark, orders_of(spark, tmp_path, 10**6))
+    want = [(i, 1000, (i * 10**9) ** 3, ((i * 1000 + 999) * 10**6) ** 3) for i in range(5)]
+    assert sorted((r[0], r[1], int(r[2]), int(r[3])) for r in found.collect()) == want

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lakeferry.operators.chunks import balanced_predicates, chunk_starts
+from lakeferry.operators.chunks import balanced_predicates, chunk_numbers, chunk_starts
 from lakeferry.plans.runs import load_run, load_run_day, merge_run, refresh_clean, versions
 from lakeferry.sinks.ledger import copy_table
 from lakeferry.sinks.storage import shared_path
@@ -145,10 +145,14 @@ def merge_files(spark, sf_dir):
     """
 )
 def chunked_balanced(spark, sf_dir):
-    """Rows per predicate of a backfill over sparse keys that lie denser and denser: every chunk has the same number."""
-    key = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").select(key.cast("bigint").alias("k"))
-    starts = chunk_starts(orders, ["k"], 1000).toLocalIterator()
-    hits = [F.when(F.expr(p), F.lit(i).cast("bigint")) for i, p in enumerate(balanced_predicates(["k"], starts))]
-    chunk = F.coalesce(*hits).alias("chunk")
-    return orders.groupBy(chunk).agg(F.count("*").alias("num_rows"), F.min("k").alias("lowest"), F.max("k").alias("highest"))
+    """Rows per predicate of a backfill over sparse keys that lie denser and denser: every chunk has the same number.
+
+    The keys are cubes: bigint as long as all of them fit, else decimal(38,0).
+    """
+    orders = table(spark, sf_dir, "orders")
+    largest = max((abs(x) for x in orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first() if x is not None), default=0)
+    root = F.col("o_orderkey").cast("bigint" if largest**3 < 1 << 63 else "decimal(19,0)")
+    keys = orders.select((root * root * root).alias("k"))
+    starts = chunk_starts(keys, ["k"], 1000).toLocalIterator()
+    chunks = chunk_numbers(keys, "k", balanced_predicates(["k"], starts))
+    return chunks.groupBy("chunk").agg(F.count("*").alias("num_rows"), F.min("k").alias("lowest"), F.max("k").alias("highest"))
