@@ -277,6 +277,8 @@ SECTIONS = {
 }
 
 FOLDER = "_customer"
+#: Folders with a header alone that one task writes: their cost is in files, not in bytes, which Spark sizes tasks by.
+FOLDERS_PER_TASK = 200
 
 
 def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mapping[str, Section] = SECTIONS) -> None:
@@ -287,12 +289,14 @@ def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mappi
 
     Rows are laid out in ranges of customer and row order: the rows of one customer stay
     sorted over their files, and a customer with very many rows is written by many tasks.
-    The requests are written once, so that ten sections do not compute them ten times.
+    The requests are written once, so that ten sections do not compute them ten times. The
+    headers alone are dealt to tasks by their number.
     """
     spark = requests.sparkSession
     ids = shared_path(spark, "requests")
     requests.select(SUBJECT).distinct().write.parquet(ids)
     requests = spark.read.parquet(ids)
+    tasks = max(-(-requests.count() // FOLDERS_PER_TASK), 1)
     for name, section in sections.items():
         rows = section.rows(tables, requests)
         order = [F.col(FOLDER), *[F.asc_nulls_last(c) for c in section.order]]
@@ -307,4 +311,4 @@ def write_report(tables: Tables, requests: DataFrame, path: str, sections: Mappi
         )
         without = requests.join(rows.select(SUBJECT).distinct(), SUBJECT, "left_anti")
         header = without.select(F.col(SUBJECT).alias(FOLDER), F.lit(",".join(section.header)).alias("value"))
-        header.write.mode("overwrite").options(**only).partitionBy(FOLDER).text(folder)
+        header.repartition(tasks, FOLDER).write.mode("overwrite").options(**only).partitionBy(FOLDER).text(folder)

@@ -193,6 +193,16 @@ def test_reports_of_earlier_customers_stay(spark, tmp_path):
     assert read.count() == 3
 
 
+def test_headers_alone_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(subject_report, "FOLDERS_PER_TASK", 10, raising=False)
+    schema = "customer_id int, scheduled_at timestamp, status string, type string, recipient string, content string"
+    section = {"communications": subject_report.SECTIONS["communications"]}
+    requests = spark.range(100).select(F.col("id").cast("int").alias("customer_id"))
+    subject_report.write_report({"sendouts": spark.createDataFrame([], schema)}, requests, str(tmp_path), section)
+    files = glob.glob(f"{tmp_path}/communications/_customer=*/part-*")
+    assert len(files) == 100 and len({f.rsplit("/", 1)[-1].split("-")[1] for f in files}) > 3
+
+
 @pytest.fixture
 def new_york(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
