@@ -17,6 +17,13 @@ def publish_messages(rows: DataFrame, topic: str, options: Mapping[str, str]) ->
     rows.write.format("kafka").options(**options).option("topic", topic).save()
 
 
-def write_messages(rows: DataFrame, path: str) -> None:
-    """Write the rows as text files, one message per line."""
-    rows.write.mode("overwrite").text(path)
+#: Messages in a packed file, which is read by one task.
+PACKED_MESSAGES = 250_000
+
+
+def write_messages(rows: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write the rows as text files, one message per line; packed ones are of bounded size, as they are not split."""
+    writer = rows.write.mode("overwrite")
+    if compression:
+        writer = writer.options(compression=compression, maxRecordsPerFile=PACKED_MESSAGES)
+    writer.text(path)

@@ -352,3 +352,26 @@ def test_reads_are_split_without_bounds_of_the_caller():
     assert len(large.asked[-1][2]) == 5_000
     jdbc.read_full(large, connection, numbered, max_tasks=7)
     assert len(large.asked[-1][2]) == 7
+
+
+def test_packed_messages_are_the_same_rows(spark, tmp_path, monkeypatch):
+    from lakeferry.sinks import messages as sink
+
+    monkeypatch.setattr(sink, "PACKED_MESSAGES", 1000)
+    rows = messages(spark.range(5000).coalesce(1), F.to_json(F.struct("id", F.lit("a campaign of the report").alias("name"))))
+    sizes = {}
+    for codec in (None, "lz4"):
+        path = tmp_path / str(codec)
+        write_messages(rows, str(path), codec)
+        assert spark.read.text(str(path)).exceptAll(rows).count() == 0 and spark.read.text(str(path)).count() == 5000
+        sizes[codec] = [f.stat().st_size for f in path.glob("part-*")]
+    assert len(sizes["lz4"]) == 5 and sum(sizes["lz4"]) < sum(sizes[None]) / 3
+
+
+def test_landed_reports_are_packed(spark, tmp_path, monkeypatch):
+    from workload import documents
+
+    monkeypatch.setattr(documents, "shared_path", lambda session, name: str(tmp_path / name))
+    reports = spark.range(100).select(F.to_json(F.struct("id")).alias("value"))
+    assert documents._landed(spark, reports, "r", "id long").count() == 100
+    assert not list((tmp_path / "r").glob("*.txt")) and list((tmp_path / "r").glob("*.lz4"))

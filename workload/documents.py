@@ -394,9 +394,9 @@ def signature_decode(spark, sf_dir):
 
 
 def _landed(spark, reports, name, schema):
-    """Report texts written as landed files and read in the layout of the report."""
+    """Report texts written as landed files, packed, and read in the layout of the report."""
     path = shared_path(spark, name)
-    write_messages(reports, path)
+    write_messages(reports, path, "lz4")
     return read_ndjson(spark, path, schema)
 
 
