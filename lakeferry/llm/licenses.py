@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakeferry.llm.common import landed
 
 UNKNOWN = "unknown"
-#: Negative examples for the fit, about as many, chosen by hash among paragraphs that share a telling word with a template.
+#: What the negative examples of the corpus weigh together in the fit, whatever their number; few of them weigh one each.
 FIT_NEGATIVES = 2_000
 #: A prediction needs this probability and this share of the word pairs of a template of its family.
 LEAST_PROBABILITY, LEAST_CONTAINMENT = 0.5, 0.6
@@ -211,8 +211,10 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 
 def fit_licenses(spark: SparkSession, found: DataFrame, negatives: int = FIT_NEGATIVES) -> LicenseModel:
-    """Fits on the templates, whole and cut in half, and on what is unknown: other sentences and a bounded number of
-    paragraphs of the corpus that hold less than a third of any template. The threshold is calibrated on the latter."""
+    """Fits on the templates, whole and cut in half, and on what is unknown: other sentences and all paragraphs of the
+    corpus that hold less than a third of any template, which weigh about ``negatives`` together so that the templates
+    keep their part. Paragraphs with the same grams are one row with their number. The threshold is calibrated on all
+    that is unknown."""
     families = [UNKNOWN, *sorted(TEMPLATES)]
     positive = []
     for family, texts in TEMPLATES.items():
@@ -224,23 +226,27 @@ def fit_licenses(spark: SparkSession, found: DataFrame, negatives: int = FIT_NEG
     # a paragraph with little of any template; the templates are few and fixed, so each line meets a bounded set
     least = F.greatest(*[F.size(F.array_intersect("pairs", _fixed([g for g in _grams(t) if " " in g]))) / F.lit(float(len(t.split()) - 1)) for texts in TEMPLATES.values() for t in texts])
     share = min(1.0, negatives / max(found.count(), 1))
-    drawn = found.where(F.pmod(F.xxhash64("doc_id", "paragraph", "last", "grams"), F.lit(1 << 30)) < int(share * (1 << 30)))
     other = (
-        drawn.select("grams")
+        found.groupBy(F.array_sort("grams").alias("grams"))
+        .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("pairs", F.filter("grams", lambda g: g.contains(" ")))
         .where(least < 1 / 3)
-        .select(F.lit(0.0).alias("label"), "grams")
+        .select(F.lit(0.0).alias("label"), "grams", (F.col("times") * share).alias("weight"), "times")
     )
-    rows = landed(spark.createDataFrame(positive, "label double, grams array<string>").union(other), "license-fit")
+    fixed = spark.createDataFrame(positive, "label double, grams array<string>")
+    fixed = fixed.select("*", F.lit(1.0).alias("weight"), F.lit(round(1 / share)).cast("bigint").alias("times"))
+    rows = landed(fixed.union(other), "license-fit")
     counts = CountVectorizerModel.from_vocabulary(vocabulary(), inputCol="grams", outputCol="features")
     counts.setBinary(True)
-    fitted = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, labelCol="label").fit(counts.transform(rows))
+    fit = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, labelCol="label", weightCol="weight")
+    fitted = fit.fit(counts.transform(rows))
     names = IndexToString(inputCol="prediction", outputCol="family", labels=families)
     stages = PipelineModel([counts, fitted, names])
+    # in steps of a millionth, so that there is a bounded number of them
     scored = stages.transform(rows.where("label = 0")).select(
-        (1 - vector_to_array("probability")[0]).alias("p")
+        F.round(1 - vector_to_array("probability")[0], 6).alias("p"), "times"
     )
-    reached = scored.agg(F.percentile("p", 1 - MOST_FALSE)).first()[0] or 0.0
+    reached = scored.agg(F.percentile("p", 1 - MOST_FALSE, F.col("times"))).first()[0] or 0.0
     return LicenseModel(stages, families, max(LEAST_PROBABILITY, reached))
 
 

@@ -412,6 +412,22 @@ def test_wrapped_notices(spark):
     assert all(r["paragraph"] in first.get(r["family"], (3,)) for r in got if r["doc_id"] < 900)
 
 
+def test_the_fit_takes_all_paragraphs(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(licenses, "landed", lambda df, name: kept.setdefault(name, df))
+    words = sorted(set(licenses.telling_words()))[:30]
+    rows = [(i, i, 0, 0, [words[i % 30]] if i % 2 else [words[i % 30], words[i % 7]], []) for i in range(300)]
+    rows.append((300, 300, 0, 0, [*licenses._grams(licenses.TEMPLATES["mit"][0])], []))
+    found = spark.createDataFrame(rows, "row long, doc_id long, paragraph int, last int, grams array<string>, beyond array<string>")
+    model = licenses.fit_licenses(spark, found, 20)
+    fit = kept["license-fit"].where("weight <> 1 and label = 0").collect()
+    assert {tuple(r["grams"]) for r in fit} == {tuple(sorted(r[4])) for r in rows[:300]}
+    assert sum(r["times"] for r in fit) == 300 and abs(sum(r["weight"] for r in fit) - 300 * 20 / 301) < 1e-9
+    again = licenses.fit_licenses(spark, found.selectExpr("row", "doc_id + 1000 as doc_id", "paragraph", "last", "grams", "beyond"), 20)
+    assert abs(model.threshold - again.threshold) < 1e-6
+    assert np.allclose(model.stages.stages[1].coefficientMatrix.toArray(), again.stages.stages[1].coefficientMatrix.toArray(), atol=1e-6)
+
+
 # mixing
 
 
